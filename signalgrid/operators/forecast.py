@@ -59,7 +59,8 @@ def history(
 
 
 def _hours_since(start: Column, moment: Column) -> Column:
-    return F.timestamp_diff("HOUR", start, moment).cast("double")
+    """Hours from the start of a day; from calendar fields, so no time zone plays a part."""
+    return (F.datediff(F.to_date(moment), start) * 24 + F.hour(moment)).cast("double")
 
 
 def seasonal(training: DataFrame, until: str, series: Sequence[str] = SERIES) -> DataFrame:
@@ -70,7 +71,7 @@ def seasonal(training: DataFrame, until: str, series: Sequence[str] = SERIES) ->
     joined; no row goes back to be compared with its fit. Series with less than a day of
     history give nothing. Each forecast starts after the series' own last hour.
     """
-    origin = F.date_sub(F.lit(until).cast("date"), LOOKBACK_DAYS).cast("timestamp_ntz")
+    origin = F.date_sub(F.lit(until).cast("date"), LOOKBACK_DAYS)
     t = F.col("t")
     timed = training.withColumns(
         {
@@ -263,9 +264,10 @@ def metrics(
     forecast: DataFrame,
     date: str,
     series: Sequence[str] = SERIES,
-    digits: int = 2,
+    digits: int | None = 2,
 ) -> DataFrame:
-    """Errors of a day's forecast per series, over the hours that have both values."""
+    """Errors of a day's forecast per series, over the hours that have both values; not
+    rounded if ``digits`` is None."""
     day = F.lit(date).cast("date")
     actual = facts.where(F.col("event_date") == day).select(
         *series,
@@ -281,7 +283,7 @@ def metrics(
     level = F.col("actual_rsrp") - F.col("forecast_rsrp")
 
     def rounded(value: Column, name: str) -> Column:
-        return F.round(value, digits).alias(name)
+        return (value if digits is None else F.round(value, digits)).alias(name)
 
     return pairs.groupBy(*series).agg(
         F.lit(date).cast("date").alias("eval_date"),

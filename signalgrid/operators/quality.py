@@ -295,25 +295,30 @@ def report(
     rules: Sequence[Rule] | None = None,
     scope: str = "valid",
     limits: Limits = Limits(),
+    late_apart: bool = False,
 ) -> DataFrame:
     """One row per batch: row counts, rule score, verdict.
 
     Copies share their six values and with them their verdict, so a batch has as many clean
     rows as plausible distinct measurements and the rows themselves are not needed again.
+    With ``late_apart`` late rows are set aside before the verdict: clean and dirty rows
+    then add up to the on-time rows instead of all rows.
     """
     rules = rules or default_rules(limits)
+    judged = "on_time" if late_apart else "copies"
     located = with_distance(copies(measurements, by), cells)
-    stats = distance_stats(located, by, scope, limits, weight="copies")
+    counted = located.where(F.col(judged) > 0)
+    stats = distance_stats(counted, by, scope, limits, weight=judged)
     scored = with_stats(located, stats, by)
     raw, on_time = F.sum("copies"), F.sum("on_time")
-    clean = F.count_if(plausible(limits))
+    clean = F.count_if(plausible(limits) & (F.col(judged) > 0))
     counts = scored.groupBy(*by).agg(
         raw.alias("total_raw_records"),
         (raw - on_time).alias("late_count"),
         on_time.alias("on_time_count"),
         (raw - F.count(F.lit(1))).alias("duplicate_count"),
         clean.alias("clean_count"),
-        (raw - clean).alias("dirty_count"),
+        (F.sum(judged) - clean).alias("dirty_count"),
         *_rule_sums(rules),
     )
     failed = sum((F.when(_passed(i, r), 0).otherwise(1) for i, r in enumerate(rules)), F.lit(0))

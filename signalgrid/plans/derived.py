@@ -25,7 +25,7 @@ LAST_WEEK = "2024-01-17"
 NOON = 11  # the last hour that has been measured in the queries that look ahead
 LIMITS = Thresholds(dense_users=3)
 DIGITS = 6
-FOCUS_CELL = "CLICK"
+FOCUS_CELL = "CCLICK"
 
 # Text that means the same in Spark and in the checking engine.
 MEASUREMENT_FIELDS = {
@@ -167,7 +167,7 @@ def as_measurements(events: DataFrame) -> DataFrame:
 
 def with_time_ms(measurements: DataFrame) -> DataFrame:
     """The event time as epoch milliseconds, as landing files have it."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return measurements.withColumn(
-        "time_ms", F.timestamp_diff("MILLISECOND", epoch, F.col("ts")).cast("bigint")
-    )
+    days = F.datediff(F.to_date("ts"), F.lit("1970-01-01"))
+    minutes = days.cast("bigint") * 1440 + F.hour("ts") * 60 + F.minute("ts")
+    millis = F.floor(F.extract(F.lit("SECOND"), F.col("ts")) * 1000)
+    return measurements.withColumn("time_ms", (minutes * 60000 + millis).cast("bigint"))

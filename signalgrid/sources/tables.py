@@ -49,6 +49,15 @@ def read_table(
     return reader.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a location holds readable data."""
+    try:
+        read_table(spark, path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def read_partition(df: DataFrame, **equal: object) -> DataFrame:
     """The rows of one partition; a pair ``(from, to)`` takes an inclusive range.
 
@@ -120,18 +129,19 @@ def upsert_table(
 ) -> None:
     """Upsert into a stored table of one folder; creates it on the first load."""
     spark = new.sparkSession
-    try:
+    if table_exists(spark, path):
         merged = upsert(read_table(spark, path), new, keys, newest)
-    except AnalysisException:
+    else:
         merged = newest_per_key(new, keys, newest)
     # The result reads the folder it replaces: settle it elsewhere first.
     write_table(materialise(merged), path)
 
 
-def truncate(spark: SparkSession, path: str) -> None:
-    """Empty a table, keeping its columns."""
+def truncate(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Empty a table. One without partitions keeps its columns; a partitioned one keeps only
+    its folder, and the next write brings the columns back."""
     schema = read_table(spark, path).schema
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    write_table(spark.createDataFrame([], schema), path, partition_by)
 
 
 def register(spark: SparkSession, name: str, path: str, replace: bool = False) -> bool:
@@ -140,9 +150,7 @@ def register(spark: SparkSession, name: str, path: str, replace: bool = False) -
     Leaves a known table alone unless ``replace``; a location without data is skipped and
     reported as False.
     """
-    try:
-        read_table(spark, path)
-    except AnalysisException:
+    if not table_exists(spark, path):
         return False
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
