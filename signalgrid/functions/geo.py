@@ -22,15 +22,16 @@ SQRT3 = math.sqrt(3.0)
 def great_circle_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     """Great-circle distance by the spherical law of cosines; null if a point is unknown.
 
-    Rounding can push the cosine of two equal points above 1, where ``acos`` gives NaN, so
-    it is held to [-1, 1] in a way that keeps nulls.
+    Rounding can push the cosine of two equal (or opposite) points just outside [-1, 1],
+    where ``acos`` gives NaN; the angle is then 0 (or pi). The cosine is looked at again
+    only in that case, and nulls stay null.
     """
     phi1, phi2 = F.radians(lat1), F.radians(lat2)
     cosine = F.sin(phi1) * F.sin(phi2) + F.cos(phi1) * F.cos(phi2) * F.cos(
         F.radians(lng2 - lng1)
     )
-    held = F.when(cosine > 1, F.lit(1.0)).when(cosine < -1, F.lit(-1.0)).otherwise(cosine)
-    return F.acos(held) * EARTH_RADIUS_KM
+    edge = F.when(cosine > 0, F.lit(0.0)).otherwise(F.lit(math.pi))
+    return F.nanvl(F.acos(cosine), edge) * EARTH_RADIUS_KM
 
 
 def distance_or_sentinel(distance: Column) -> Column:
@@ -78,17 +79,13 @@ class HexGrid:
         )
         fix_q = (F.col("_dq") > F.col("_dr")) & (F.col("_dq") > F.col("_dt"))
         fix_r = ~fix_q & (F.col("_dr") > F.col("_dt"))
-        helpers = ["_ft", *(f"_{kind}{axis}" for kind in "frd" for axis in "qr")]
-        return rounded.withColumns(
-            {
-                "hex_q": F.when(fix_q, -F.col("_rr") - F.col("_rt"))
-                .otherwise(F.col("_rq"))
-                .cast("bigint"),
-                "hex_r": F.when(fix_r, -F.col("_rq") - F.col("_rt"))
-                .otherwise(F.col("_rr"))
-                .cast("bigint"),
-            }
-        ).drop(*helpers, "_rt", "_dt")
+        q = F.when(fix_q, -F.col("_rr") - F.col("_rt")).otherwise(F.col("_rq"))
+        r = F.when(fix_r, -F.col("_rq") - F.col("_rt")).otherwise(F.col("_rr"))
+        cell = F.struct(q.cast("bigint").alias("hex_q"), r.cast("bigint").alias("hex_r"))
+        # A one-element generator instead of two plain columns: later conditions on the
+        # hexagon (joins add "is not null") then stop here. Without it the optimizer would
+        # copy the whole arithmetic into each filter, past the size generated code may have.
+        return rounded.select(*df.columns, F.inline(F.array(cell)))
 
     @staticmethod
     def text_id(q: Column, r: Column) -> Column:

@@ -186,17 +186,20 @@ def distance_stats(
         raise ValueError(f"unknown scope {scope!r}")
     d = F.col("distance_to_cell_km")
     if scope == "valid":
-        located = located.where(within_country(limits) & (d <= limits.max_distance_km))
+        # A condition inside the aggregates, not a filter: a filter would be pushed below
+        # the distance and compute it twice.
+        d = F.when(within_country(limits) & (d <= limits.max_distance_km), d)
     groups = located.groupBy(*by, "cell_id")
     if weight is None:
         return groups.agg(
             F.avg(d).alias("mean_distance_km"), F.stddev_samp(d).alias("sd_distance_km")
         )
-    w = F.col(weight)
+    w = F.when(d.isNotNull(), F.col(weight)).cast("double")
     n, total, squares = F.sum(w), F.sum(w * d), F.sum(w * d * d)
-    spread = F.greatest(squares - total * total / n, F.lit(0.0))
+    mean = F.when(n > 0, total / n)
+    spread = F.greatest(squares - total * mean, F.lit(0.0))
     return groups.agg(
-        (total / n).alias("mean_distance_km"),
+        mean.alias("mean_distance_km"),
         F.when(n > 1, F.sqrt(spread / (n - 1))).alias("sd_distance_km"),
     )
 
@@ -307,8 +310,7 @@ def report(
     rules = rules or default_rules(limits)
     judged = "on_time" if late_apart else "copies"
     located = with_distance(copies(measurements, by), cells)
-    counted = located.where(F.col(judged) > 0)
-    stats = distance_stats(counted, by, scope, limits, weight=judged)
+    stats = distance_stats(located, by, scope, limits, weight=judged)
     scored = with_stats(located, stats, by)
     raw, on_time = F.sum("copies"), F.sum("on_time")
     clean = F.count_if(plausible(limits) & (F.col(judged) > 0))

@@ -7,10 +7,11 @@ job without a write.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from signalgrid.functions import HexGrid
 from signalgrid.operators import dimensions, facts, forecast, late, lookups, quality
@@ -131,6 +132,9 @@ def check_quality(
 ) -> bool:
     """Split an hour into clean, quarantined and late rows and write its report.
 
+    Running an hour again replaces it. Late rows that had been merged into it come back by
+    running the batches they arrived with again, then :func:`merge_late`.
+
     Raises :class:`QualityGateError` after writing if the rule score is too low.
     """
     batch = {"batch_date": _date(date), "batch_hour": hour}
@@ -185,7 +189,8 @@ def merge_late(
     then empty the quarantine.
 
     Only hours with late rows are read and written. Rows still pass the quality rules
-    before they are merged.
+    before they are merged. After a crash the job can run again: the merge changes nothing
+    the second time, rejected rows may be listed twice.
     """
     if not tables.table_exists(spark, lake.late_arrival):
         return False
@@ -202,13 +207,7 @@ def merge_late(
     hours = materialise(late.affected_partitions(arrivals))
     hours.coalesce(1).write.mode("overwrite").json(lake.affected)
     replace_partitions(merged, lake.mdt_clean, EVENT_HOUR)
-    rejected = quality.stamp(dirty)
-    if tables.table_exists(spark, lake.dirty_data):
-        old = late.in_partitions(
-            read_table(spark, lake.dirty_data, merge=True), late.affected_partitions(rejected)
-        )
-        rejected = tables.align_union(old, rejected).distinct()
-    replace_partitions(materialise(rejected), lake.dirty_data, EVENT_HOUR)
+    tables.append(quality.stamp(dirty), lake.dirty_data, EVENT_HOUR)
     replace_partitions(facts.hourly(merged, cells, grid), lake.fact_hourly, EVENT_HOUR)
     tables.truncate(spark, lake.late_arrival, BATCH)
     return True
@@ -222,9 +221,10 @@ def run_forecast(
     lake: Lake,
     date: str,
     days: int = forecast.LOOKBACK_DAYS,
-    model=forecast.seasonal,
+    model: Callable[[DataFrame], DataFrame] | None = None,
 ) -> bool:
-    """Forecast the 24 hours after each series' last hour before ``date``.
+    """Forecast the 24 hours after each series' last hour before ``date``, by ``model`` or
+    else by trend and hour-of-day effect.
 
     Replaces the forecast's own hours only, so the forecasts of earlier days stay for
     evaluation.
@@ -232,7 +232,7 @@ def run_forecast(
     training = forecast.history(read_table(spark, lake.fact_hourly), date, days)
     if training.isEmpty():
         return False
-    ahead = model(training, date) if model is forecast.seasonal else model(training)
+    ahead = model(training) if model else forecast.seasonal(training, date)
     replace_partitions(ahead, lake.forecast, ["forecast_date", "forecast_hour"])
     return True
 

@@ -46,6 +46,10 @@ def read_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return typed(_read_text_columns(spark, path), CELL_COLUMNS)
 
 
+def _column(value: object) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def derive_partitions(
     df: DataFrame,
     batch_date: str | Column,
@@ -54,17 +58,15 @@ def derive_partitions(
 ) -> DataFrame:
     """Add event time (local date, hour and ``date-hour`` key) next to the batch's own.
 
-    A file without ``time_ms`` takes its event time from the batch. A single unreadable
-    ``time_ms`` leaves the event time of that row unknown.
+    Where there is no ``time_ms``, in the whole file or in one row, the batch stands in.
     """
-    as_column = lambda value: value if isinstance(value, Column) else F.lit(value)
-    arrived_date = as_column(batch_date).cast("date")
-    arrived_hour = as_column(batch_hour).cast("int")
+    arrived_date = _column(batch_date).cast("date")
+    arrived_hour = _column(batch_hour).cast("int")
+    event_date, event_hour = arrived_date, arrived_hour
     if "time_ms" in df.columns:
         moment = local_time(F.col("time_ms"), zone)
-        event_date, event_hour = F.to_date(moment), F.hour(moment)
-    else:
-        event_date, event_hour = arrived_date, arrived_hour
+        event_date = F.coalesce(F.to_date(moment), arrived_date)
+        event_hour = F.coalesce(F.hour(moment), arrived_hour)
     return df.withColumns(
         {
             "event_date": event_date,

@@ -106,6 +106,11 @@ def replace_partitions(
             nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
 
 
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Add rows to a table."""
+    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
 def align_union(old: DataFrame, new: DataFrame) -> DataFrame:
     """Append with schema evolution: a column missing on one side is null there."""
     return old.unionByName(new, allowMissingColumns=True)
