@@ -35,6 +35,4 @@ def star_join(facts: DataFrame, cells: DataFrame, hexes: DataFrame) -> DataFrame
     stations = cells.select(
         "cell_id", F.col("station_lat").alias("cell_lat"), F.col("station_lng").alias("cell_lng")
     )
-    located = lookup_join(facts, stations, ["cell_id"])
-    # The hexagons of a country run into millions: leave the strategy to measured sizes.
-    return located.join(hexes, ["hex_id"], "left")
+    return lookup_join(lookup_join(facts, stations, ["cell_id"]), hexes, ["hex_id"])

@@ -24,10 +24,10 @@ def lookup_join(
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Join a big table with a lookup: broadcast if its counted size allows. Beyond that
-    both sides shuffle, and adaptive execution splits the partitions of hot keys."""
-    if fits(lookup, max_rows):
-        lookup = F.broadcast(lookup)
-    return left.join(lookup, list(on), how)
+    both sides are shuffled, and adaptive execution splits the partitions of hot keys. The
+    hint then keeps a low estimate from broadcasting after all."""
+    strategy = "broadcast" if fits(lookup, max_rows) else "merge"
+    return left.join(lookup.hint(strategy), list(on), how)
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:

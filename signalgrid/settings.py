@@ -63,8 +63,9 @@ SESSION_CONF = {
     # where that costs one more exchange below the next aggregate.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # percentile_approx keeps its hash maps up to this many groups per task before it sorts.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # Groups per task that percentile_approx holds as objects before it sorts. A group's
+    # summary may take some 240 KB, so this bounds them to about 250 MB.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
     "spark.sql.session.timeZone": "UTC",
 }
 

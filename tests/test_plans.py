@@ -77,17 +77,13 @@ def test_filters_reach_the_file(stored):
 
 
 def test_big_lookup_is_shuffled(stored, monkeypatch):
-    monkeypatch.setattr(
-        enrich,
-        "lookup_join",
-        lambda left, right, on, how="left": left.join(right.hint("merge"), list(on), how),
-    )
     small = facts.hourly(stored["mdt"], stored["cells"], GRID)
-    assert "SortMergeJoin" in plan(small)
+    monkeypatch.setattr(enrich.lookup_join, "__defaults__", ("left", 0))
+    big = facts.hourly(stored["mdt"], stored["cells"], GRID)
+    assert "SortMergeJoin" in plan(big) and "BroadcastHashJoin" not in plan(big)
     monkeypatch.undo()
-    broadcast = facts.hourly(stored["mdt"], stored["cells"], GRID)
-    same = small.exceptAll(broadcast).count() + broadcast.exceptAll(small).count()
-    assert same == 0
+    assert "SortMergeJoin" not in plan(small)
+    assert big.exceptAll(small).count() + small.exceptAll(big).count() == 0
 
 
 def test_scorecard_shuffles_rows_once(stored):
