@@ -145,12 +145,15 @@ def seasonal(training: DataFrame, until: str, series: Sequence[str] = SERIES) ->
         )
         return F.sqrt(F.greatest(squares, F.lit(0.0)) / (rows - 1))
 
-    for y in ("users", "rsrp"):
-        fitted = (
-            fitted.withColumn(f"{y}_slope", slope(y))
-            .withColumn(f"{y}_base", F.col(f"{y}_bar") - F.col(f"{y}_slope") * t_bar)
-            .withColumns({f"{y}_effect": hour_effects(y), f"{y}_sd": deviation(y)})
-        )
+    targets = ("users", "rsrp")
+    fitted = fitted.withColumns({f"{y}_slope": slope(y) for y in targets})
+    fitted = fitted.withColumns(
+        {f"{y}_base": F.col(f"{y}_bar") - F.col(f"{y}_slope") * t_bar for y in targets}
+    )
+    fitted = fitted.withColumns(
+        {f"{y}_effect": hour_effects(y) for y in targets}
+        | {f"{y}_sd": deviation(y) for y in targets}
+    )
     ahead = fitted.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(HORIZON_HOURS))))
     ahead = ahead.withColumn(
         "forecast_time",

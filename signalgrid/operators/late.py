@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from signalgrid.functions import HexGrid
 from signalgrid.operators.facts import hourly
 from signalgrid.operators.lookups import first_per_key, lookup_join
-from signalgrid.operators.quality import is_on_time
+from signalgrid.operators.quality import not_late
 from signalgrid.schemas import COPY_KEYS, EVENT_HOUR
 from signalgrid.sources.tables import upsert
 
@@ -18,7 +18,7 @@ MERGE_KEYS = (*EVENT_HOUR, "device_code", "time_ms")
 
 def flag_late(df: DataFrame) -> DataFrame:
     """Add ``is_late``; a row without event time cannot be placed and counts as on time."""
-    return df.withColumn("is_late", F.coalesce(~is_on_time(), F.lit(False)))
+    return df.withColumn("is_late", ~not_late())
 
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:

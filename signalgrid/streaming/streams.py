@@ -111,8 +111,9 @@ def repair(
     merged into the hours they belong to.
 
     Every write replaces whole partitions with a result that contains them, so a batch that
-    runs twice after a failure changes nothing. ``on_merged`` gets the merged hours, for
-    the facts to be rebuilt.
+    runs twice after a failure changes nothing. The quarantine is numbered by batch, so it
+    belongs to one checkpoint. ``on_merged`` gets the merged hours, for the facts to be
+    rebuilt.
     """
 
     def step(batch: DataFrame, number: int) -> None:
