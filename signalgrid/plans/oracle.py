@@ -442,7 +442,8 @@ SELECT event_id, time_ms, strftime(local, '%Y-%m-%d') AS event_date,
   {key('cell_code')} AS cell_id FROM mdt""",
     "distance_to_cell": f"""WITH {LOCATED} SELECT event_id, cell_id,
   round(coalesce(km, 9999.0e0), 3) AS distance_to_cell_km FROM located""",
-    "hex_index": f"""WITH {MDT},{axial('mdt', EDGE_KM, 'placed')} SELECT event_id, hex_q, hex_r,
+    "hex_index": f"""WITH {MDT},{axial('mdt', EDGE_KM, 'placed')} SELECT event_id,
+  CAST(hex_q AS DOUBLE) AS hex_q, CAST(hex_r AS DOUBLE) AS hex_r,
   CAST(hex_q AS VARCHAR) || ':' || CAST(hex_r AS VARCHAR) AS hex_id FROM placed""",
     "rsrp_band": f"""WITH {MDT} SELECT event_id, p_cell_rsrp,
   CASE WHEN p_cell_rsrp < -110 THEN 'very_poor' WHEN p_cell_rsrp < -105 THEN 'poor'
@@ -522,7 +523,8 @@ SELECT {STATUS_COLUMNS} FROM state""",
     "health_status_last_week": f"""WITH {FACT},{status('fact', 'state', DAY)},
 {status('fact', 'old', LAST_WEEK)} SELECT s.hex_id, s.cell_id, s.event_hour, s.health_status,
   s.avg_rsrp, s.user_density_count, o.health_status AS last_week_health_status,
-  o.avg_rsrp AS last_week_avg_rsrp, o.user_density_count AS last_week_user_density_count
+  o.avg_rsrp AS last_week_avg_rsrp,
+  CAST(o.user_density_count AS DOUBLE) AS last_week_user_density_count
 FROM state s LEFT JOIN old o ON o.hex_id = s.hex_id AND o.cell_id = s.cell_id
   AND o.event_hour = s.event_hour""",
     "latest_hour_slice": f"""WITH {FACT},{UNTIL_NOON},{status('noon', 'state', DAY)}
@@ -530,7 +532,8 @@ SELECT {STATUS_COLUMNS} FROM state WHERE event_hour = (SELECT max(event_hour) FR
     "hour_slice": f"""WITH {FACT},{status('fact', 'state', DAY)}
 SELECT {STATUS_COLUMNS} FROM state WHERE event_hour = {NOON}""",
     "next_hour_forecast": f"""WITH {FORECAST} SELECT f.hex_id, f.cell_id, {day('f.event_date')},
-  f.event_hour, {MEASURES}, forecast_density, forecast_upper, forecast_rsrp, forecast_rsrp_lower
+  f.event_hour, {MEASURES}, CAST(forecast_density AS DOUBLE) AS forecast_density,
+  forecast_upper, forecast_rsrp, forecast_rsrp_lower
 FROM fact f LEFT JOIN {NEXT_HOUR} WHERE f.event_date = DATE '{DAY}'""",
     "early_warning": f"""WITH {FORECAST} SELECT f.hex_id, f.cell_id, {day('f.event_date')},
   f.event_hour, {WARNING} AS early_warning FROM fact f LEFT JOIN {NEXT_HOUR}""",

@@ -69,6 +69,11 @@ def rounded(df: DataFrame, *names: str, digits: int = DIGITS) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) + F.lit(0.0) for name in names})
 
 
+def as_double(df: DataFrame, *names: str) -> DataFrame:
+    """Whole numbers that may be missing, in the one type that shows both alike everywhere."""
+    return df.withColumns({name: F.col(name).cast("double") for name in names})
+
+
 def settled(df: DataFrame, *names: str) -> DataFrame:
     """Round means of rounded values. Such means often lie half way between two results;
     the small addend sends them up whatever the order they were summed in."""
@@ -194,13 +199,13 @@ def distance_to_cell(t: Tables) -> DataFrame:
 
 @query
 def hex_index(t: Tables) -> DataFrame:
-    placed = GRID.assign(t.measurements)
-    return placed.select(
+    placed = GRID.assign(t.measurements).select(
         "event_id",
         "hex_q",
         "hex_r",
         GRID.text_id(F.col("hex_q"), F.col("hex_r")).alias("hex_id"),
     )
+    return as_double(placed, "hex_q", "hex_r")
 
 
 @query
@@ -424,7 +429,8 @@ def health_status(t: Tables) -> DataFrame:
 
 @query
 def health_status_last_week(t: Tables) -> DataFrame:
-    return serving.week_comparison(t.facts, DAY, LAST_WEEK, limits=LIMITS)
+    weeks = serving.week_comparison(t.facts, DAY, LAST_WEEK, limits=LIMITS)
+    return as_double(weeks, "last_week_user_density_count")
 
 
 @query
@@ -441,7 +447,8 @@ def hour_slice(t: Tables) -> DataFrame:
 
 @query
 def next_hour_forecast(t: Tables) -> DataFrame:
-    return serving.next_hour_forecast(serving.on_day(t.facts, DAY), t.forecast)
+    ahead = serving.next_hour_forecast(serving.on_day(t.facts, DAY), t.forecast)
+    return as_double(ahead, "forecast_density")
 
 
 @query
