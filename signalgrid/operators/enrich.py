@@ -14,7 +14,7 @@ def with_cells(measurements: DataFrame, cells: DataFrame) -> DataFrame:
     """Add the normalised ``cell_id`` and the station's position; unknown cells keep their
     rows with a null position."""
     keyed = measurements.withColumn("cell_id", normalize_key(F.col("cell_code")))
-    return lookup_join(keyed, cells.select("cell_id", *STATION), ["cell_id"])
+    return lookup_join(keyed, cells, ["cell_id"], take={c: c for c in STATION})
 
 
 def with_distance(
@@ -32,7 +32,6 @@ def with_distance(
 
 def star_join(facts: DataFrame, cells: DataFrame, hexes: DataFrame) -> DataFrame:
     """Facts with the positions of their cell and hexagon."""
-    stations = cells.select(
-        "cell_id", F.col("station_lat").alias("cell_lat"), F.col("station_lng").alias("cell_lng")
-    )
-    return lookup_join(lookup_join(facts, stations, ["cell_id"]), hexes, ["hex_id"])
+    positions = {"station_lat": "cell_lat", "station_lng": "cell_lng"}
+    located = lookup_join(facts, cells, ["cell_id"], take=positions)
+    return lookup_join(located, hexes, ["hex_id"])

@@ -78,7 +78,7 @@ def test_filters_reach_the_file(stored):
 
 def test_big_lookup_is_shuffled(stored, monkeypatch):
     small = facts.hourly(stored["mdt"], stored["cells"], GRID)
-    monkeypatch.setattr(enrich.lookup_join, "__defaults__", ("left", 0))
+    monkeypatch.setattr(enrich.lookup_join, "__defaults__", ("left", 0, None))
     big = facts.hourly(stored["mdt"], stored["cells"], GRID)
     assert "SortMergeJoin" in plan(big) and "BroadcastHashJoin" not in plan(big)
     monkeypatch.undo()
