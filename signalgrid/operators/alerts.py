@@ -20,20 +20,39 @@ def latest_hour(facts: DataFrame, date: str) -> Column:
     return F.coalesce(on_day(facts, date).agg(F.max("event_hour")).scalar(), F.lit(0))
 
 
-def current(facts: DataFrame, date: str, limits: Thresholds = Thresholds()) -> DataFrame:
-    """Bad and busy rows of the latest hour.
+def bad_run_by_cell(day: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
+    """Add how many of a cell's last ``critical_hours`` rows of the day, by hour and then by
+    hexagon, were bad.
 
-    The run goes over the rows of a cell by hour and, within an hour, by hexagon. Its groups
-    are bounded by physics, not by the volume of measurements: one cell's hexagons within
-    the distance limit times 24 hours.
+    A cell may own a large part of all rows, so its day is cut into short stretches: an hour
+    and the first characters of the hexagon, which keep the order of the whole. A row that
+    has enough rows before it in its stretch is done there. The others look back over the
+    ends of stretches only, at most ``2 * (critical_hours - 1)`` rows each.
     """
-    recent = (
-        Window.partitionBy("cell_id", "event_date")
-        .orderBy("event_hour", "hex_id")
-        .rowsBetween(1 - limits.critical_hours, 0)
-    )
+    n = limits.critical_hours
     bad = F.when(F.col("avg_rsrp") < limits.hole_rsrp, 1).otherwise(0)
-    runs = on_day(facts, date).withColumn("bad_hours", F.sum(bad).over(recent))
+    stretch = ["cell_id", "event_date", "event_hour", "_part"]
+    ahead = Window.partitionBy(*stretch).orderBy("hex_id")
+    back = Window.partitionBy(*stretch).orderBy(F.col("hex_id").desc())
+    placed = day.withColumn("_part", F.substring("hex_id", 1, 5)).withColumns(
+        {
+            "_place": F.row_number().over(ahead),
+            "_rest": F.row_number().over(back),
+            "bad_hours": F.sum(bad).over(ahead.rowsBetween(1 - n, 0)),
+        }
+    )
+    settled = placed.where(F.col("_place") >= n)
+    ends = placed.where((F.col("_place") < n) | (F.col("_rest") < n))
+    whole = Window.partitionBy("cell_id", "event_date").orderBy("event_hour", "hex_id")
+    crossing = ends.withColumn("bad_hours", F.sum(bad).over(whole.rowsBetween(1 - n, 0))).where(
+        F.col("_place") < n
+    )
+    return settled.unionByName(crossing).drop("_part", "_place", "_rest")
+
+
+def current(facts: DataFrame, date: str, limits: Thresholds = Thresholds()) -> DataFrame:
+    """Bad and busy rows of the latest hour."""
+    runs = bad_run_by_cell(on_day(facts, date), limits)
     level = F.when(F.col("bad_hours") >= limits.critical_hours, CRITICAL).otherwise(CURRENT_HOLE)
     return runs.where(
         (F.col("event_hour") == latest_hour(facts, date))

@@ -233,6 +233,31 @@ def test_alerts(spark):
     assert {r.cell_id for r in early.collect()} == {"A", "B"}
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7])
+def test_cell_run_against_brute_force(spark, n):
+    import random
+
+    rng = random.Random(n)
+    rows, seen = [], set()
+    for _ in range(900):
+        # One cell has most rows; stretches of hexagons are long, short and missing.
+        cell = rng.choice("AAAAAB")
+        hex_id = rng.choice([f"{rng.choice(['-1077', '-1', '12345'])}:{rng.randrange(40)}", "7:7"])
+        at = (hex_id if rng.random() > 0.01 else None, cell, rng.choice([0, 1, 2, 5, 9]))
+        if at not in seen:
+            seen.add(at)
+            rows.append((*at, 1, rng.choice([-101.0, -101.0, -90.0])))
+    got = alerts.bad_run_by_cell(facts(spark, *rows), Thresholds(critical_hours=n)).collect()
+    assert len(got) == len(rows)
+    want = {}
+    for cell in "AB":
+        own = [r for r in rows if r[1] == cell]
+        own.sort(key=lambda r: (r[2], r[0] is not None, r[0] or ""))
+        for i, r in enumerate(own):
+            want[r[:3]] = sum(x[4] < -100 for x in own[max(0, i + 1 - n) : i + 1])
+    assert {(r.hex_id, r.cell_id, r.event_hour): r.bad_hours for r in got} == want
+
+
 def test_risk_list(spark):
     ahead = forecasts(
         spark, ("a", "A", 5, 60, 100.0, -95.0, -106.0), ("a", "B", 5, 60, 100.0, -95.0, -96.0)
