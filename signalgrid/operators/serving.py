@@ -428,13 +428,14 @@ def load_heatmap(facts: DataFrame, date: str, limits: Thresholds = Thresholds())
     grid = facts.sparkSession.range(7 * 24).select(
         (F.floor(slot / 24) + 1).cast("int").alias("dow_num"),
         (slot % 24).cast("int").alias("event_hour"),
+        F.floor(slot / 168).alias("_grid"),
     )
     filled = grid.join(load, ["dow_num", "event_hour"], "left").select(
-        "dow_num", "event_hour", F.coalesce("_load", F.lit(0.0)).alias("avg_density")
+        "dow_num", "event_hour", F.coalesce("_load", F.lit(0.0)).alias("avg_density"), "_grid"
     )
     # The grid always has 168 rows; one task takes their maximum.
-    busiest = F.max("avg_density").over(Window.partitionBy(F.lit(1)))
-    return filled.withColumn("load_band", load_band(F.col("avg_density"), busiest))
+    busiest = F.max("avg_density").over(Window.partitionBy("_grid"))
+    return filled.withColumn("load_band", load_band(F.col("avg_density"), busiest)).drop("_grid")
 
 
 def last_measured(facts: DataFrame, keys: Sequence[str] = ("hex_id", "cell_id")) -> DataFrame:
