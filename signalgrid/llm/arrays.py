@@ -18,7 +18,7 @@ U64 = np.uint64
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(buffer of UTF-8 bytes, offsets) of a string column."""
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    column = pc.fill_null(column, "" if pa.types.is_string(column.type) else b"").cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)

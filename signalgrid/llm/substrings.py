@@ -9,6 +9,9 @@ Skew: windows that repeat inside one piece of the input are reported there and g
 as known, so a passage that a third of all texts share reaches its bucket once per piece. A
 bucket is read as a sorted stream; only its distinct windows stay in memory, as hashes.
 
+Packed strings are compressed with a small dictionary made from ``SAMPLE`` texts; it bears on
+their size alone.
+
 Windows are compared by two independent 64-bit hashes of their words. Null texts have no words.
 Rows are told apart by id and text, so ids may be null or repeated: a repeated row is another
 place where its windows start.
@@ -21,15 +24,17 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from signalgrid.llm.arrays import map_pieces, mix, pieces, text_bytes, word_hashes, word_spans
 from signalgrid.llm.work import settle
 
 WINDOW = 35
-GRAM = 8
-#: Repeated passages up to this many are broadcast to the texts; more are joined by a shuffle.
-BROADCAST_SPANS = 500_000
+GRAM = 5
+#: Texts, and characters of each, that the dictionary of the packed strings is made from.
+SAMPLE = (2000, 2000)
+DICTIONARY = 65_536
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, *range(9, 14)]] = True
@@ -102,7 +107,30 @@ def _runs(row: np.ndarray, place: np.ndarray, *same: np.ndarray) -> tuple[np.nda
     return np.flatnonzero(new), np.flatnonzero(np.append(new[1:], np.ones(min(len(row), 1), bool)))
 
 
-def _gather(batch: pa.RecordBatch, id_column: str, text: str, window: int, gram: int) -> pa.RecordBatch:
+def packing_dictionary(docs: DataFrame, text: str) -> bytes:
+    """Dictionary for short strings of these texts; empty if there is too little text."""
+    rows = docs.where(F.length(text) > 0).select(F.substring(text, 1, SAMPLE[1])).limit(SAMPLE[0])
+    samples = [row[0][i : i + 300].encode() for row in rows.collect() for i in range(0, len(row[0]), 300)]
+    try:
+        return zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
+def _packer(dictionary: bytes) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(
+        dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=False, write_dict_id=False
+    )
+
+
+def _gather(
+    batch: pa.RecordBatch,
+    id_column: str,
+    text: str,
+    window: int,
+    gram: int,
+    packer: zstandard.ZstdCompressor,
+) -> pa.RecordBatch:
     """Super-k-mers of a piece of input, and the passages that repeat inside it."""
     found = _Windows(batch.column(text), window)
     total = len(found.at)
@@ -129,7 +157,7 @@ def _gather(batch: pa.RecordBatch, id_column: str, text: str, window: int, gram:
     c, d = sent[c], sent[d]
     raw = found.data.tobytes()
     froms, tos = found.starts[found.at[c]].tolist(), found.ends[found.at[d] + window - 1].tolist()
-    packed = [None] * len(a) + [raw[x:y] for x, y in zip(froms, tos)]
+    packed = [None] * len(a) + [packer.compress(raw[x:y]) for x, y in zip(froms, tos)]
     rows.append(found.row[c])
     places.append(found.place[c])
     stops.append(found.place[d] + window)
@@ -153,8 +181,9 @@ def _gather(batch: pa.RecordBatch, id_column: str, text: str, window: int, gram:
 class _Counter:
     """Counts the windows of a stream of super-k-mers sorted by bucket."""
 
-    def __init__(self, id_column: str, window: int):
+    def __init__(self, id_column: str, window: int, dictionary: bytes):
         self.id_column, self.window = id_column, window
+        self.unpack = zstandard.ZstdDecompressor(zstandard.ZstdCompressionDict(dictionary)).decompress
         self.kept: dict[str, np.ndarray] | None = None
         self.owners: pa.Table | None = None
 
@@ -165,7 +194,8 @@ class _Counter:
         batch = batch.filter(pc.is_valid(batch.column("packed")))
         if not batch.num_rows:
             return
-        found = _Windows(batch.column("packed").cast(pa.string()), self.window)
+        texts = [self.unpack(packed) for packed in batch.column("packed").to_pylist()]
+        found = _Windows(pa.array(texts, pa.binary()).cast(pa.string()), self.window)
         now = {
             "first": found.first,
             "second": found.second,
@@ -212,17 +242,23 @@ def repeated_spans(
     ``docs`` has a column ``mark`` that tells rows of one id apart.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    gathered = map_pieces(
-        docs.select(id_column, "mark", text),
-        text,
-        lambda batch: _gather(batch, id_column, text, window, gram),
+    dictionary = packing_dictionary(docs, text)
+
+    def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = _packer(dictionary)
+        for batch in batches:
+            for piece in pieces(batch, text, 4 << 20):
+                yield _gather(piece, id_column, text, window, gram, packer)
+
+    gathered = docs.select(id_column, "mark", text).mapInArrow(
+        gather,
         f"bucket long, known boolean, {id_column} {kind}, mark long, start long, stop long, packed binary",
     )
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(id_column, window)
+        counter = _Counter(id_column, window, dictionary)
         for batch in batches:
-            for piece in pieces(batch, "packed", 2 << 20):
+            for piece in pieces(batch, "packed", 1 << 20):
                 yield from counter.add(piece)
 
     return (
@@ -279,9 +315,6 @@ def remove_repeats(
         .groupBy(id_column, "mark")
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
-    number = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
-    if number <= BROADCAST_SPANS:
-        spans = F.broadcast(spans)
     left, right = docs.alias("d"), spans.alias("s")
     joined = left.join(
         right, F.expr(f"d.{id_column} <=> s.{id_column} and d.mark = s.mark"), "left"

@@ -20,6 +20,10 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Drops a finished execution's shuffle files; nobody reads those of a settled plan again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame) -> tuple[DataFrame, str]:
     """Write ``df`` once and go on from the written table; returns it and its folder.
 
@@ -28,6 +32,11 @@ def settle(df: DataFrame) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = work_folder(spark)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     forget_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path), path
