@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signalgrid.llm import simhash, substrings
+from signalgrid.llm import decontaminate, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.col("items").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -21,6 +33,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op6_substrings": op6_substrings,
     "op7_simhash": op7_simhash,
 }
