@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signalgrid.llm import decontaminate, simhash, substrings
+from signalgrid.llm import decontaminate, lines, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,8 +32,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
+        "lines_removed",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op6_substrings": op6_substrings,
     "op7_simhash": op7_simhash,
+    "op9_lines": op9_lines,
 }
