@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signalgrid.llm import decontaminate, lines, simhash, substrings
+from signalgrid.llm import decontaminate, langid, lines, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,9 +42,16 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id"))
+    network = langid.fit(docs.where(~F.col("held_out")))
+    return langid.predict(docs.select("doc_id", "text", "held_out"), network).drop("text")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op6_substrings": op6_substrings,
     "op7_simhash": op7_simhash,
     "op9_lines": op9_lines,
+    "op10_langid": op10_langid,
 }
