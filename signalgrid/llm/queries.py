@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from signalgrid.llm import decontaminate, langid, lines, simhash, substrings
+from signalgrid.llm import decontaminate, langid, lines, secrets, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,27 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _joined(spans: Column) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ","
+    )
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    kinds = [rule.kind for rule in secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select(
+        "doc_id",
+        *(
+            F.size(F.filter(F.col("spans")["kind"], F.lit(kind).eqNullSafe)).cast("long").alias(f"n_{kind}")
+            for kind in kinds
+        ),
+        F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -50,6 +71,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_secrets": op3_secrets,
     "op6_substrings": op6_substrings,
     "op7_simhash": op7_simhash,
     "op9_lines": op9_lines,
