@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from signalgrid.llm import decontaminate, langid, lines, secrets, simhash, substrings
+from signalgrid.llm import decontaminate, langid, lines, secrets, sentencepiece, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,19 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = sentencepiece.read_vocabulary()
+    encoded = sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), words)
+    spelt = [int(i) for i in words.byte_ids if i >= 0]
+    return sentencepiece.decode(encoded, words).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.size(F.filter("ids", lambda i: i.between(min(spelt, default=-1), max(spelt, default=-1)))).cast("long").alias("n_bytes"),
+        F.hex(F.xxhash64("ids")).alias("ids_hash"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"),
+    )
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ","
@@ -71,6 +84,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_secrets": op3_secrets,
     "op6_substrings": op6_substrings,
     "op7_simhash": op7_simhash,
