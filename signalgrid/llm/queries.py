@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from signalgrid.llm import decontaminate, langid, lines, secrets, sentencepiece, simhash, substrings
+from signalgrid.llm import decontaminate, html_text, langid, lines, secrets, sentencepiece, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
     return left.select(
@@ -88,6 +93,7 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op6_substrings": op6_substrings,
     "op7_simhash": op7_simhash,
+    "op8_html_text": op8_html_text,
     "op9_lines": op9_lines,
     "op10_langid": op10_langid,
 }
