@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from signalgrid.llm import decontaminate, html_text, langid, lines, secrets, sentencepiece, simhash, substrings
+from signalgrid.llm import (
+    decontaminate,
+    html_text,
+    langid,
+    lines,
+    secrets,
+    sentencepiece,
+    simhash,
+    substrings,
+    urls,
+    vectors,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +68,14 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -91,6 +110,8 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_secrets": op3_secrets,
+    "op4_urls": op4_urls,
+    "op5_vectors": op5_vectors,
     "op6_substrings": op6_substrings,
     "op7_simhash": op7_simhash,
     "op8_html_text": op8_html_text,
