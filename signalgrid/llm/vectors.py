@@ -218,8 +218,9 @@ def near_duplicates(
             (F.col("goes.j") == F.col("at")).alias("answers"),
         )
     )
+    # Dealt by pair of blocks: by cell alone, a hot cell's pairs would meet in one task.
     links, _ = settle(
-        dealt.groupBy(*key, "i", "j").applyInArrow(
+        dealt.repartition(*key, "i", "j").groupBy(*key, "i", "j").applyInArrow(
             lambda table: _compare(table, cosine, need), "node long, other long, linked long"
         )
     )
