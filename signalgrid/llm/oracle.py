@@ -25,6 +25,143 @@ SELECT doc_id,
 FROM decided
 """
 
+DECONTAMINATE = r"""
+WITH small AS (
+  SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS word
+), d AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), a, b), word) AS w FROM documents, small
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(COALESCE(text, ''), a, b), word) AS w FROM benchmark, small
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM (SELECT *, least(10, len(w)) AS n FROM b WHERE len(w) > 0))
+), doc_windows AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), hit AS (
+  SELECT doc_id, item_id, i, x.n FROM doc_windows x JOIN item_windows y ON x.win = y.win AND x.n = y.n
+), words AS (
+  SELECT doc_id, COUNT(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items, sha256(COALESCE(items, '')) AS items_sha256,
+  COALESCE(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN listed ON listed.doc_id = d.doc_id
+"""
+
+URLS = r"""
+WITH RECURSIVE rules(verdict, host, path) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), small AS (
+  SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b
+), p AS (
+  SELECT page_id, url, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest,
+    CASE WHEN instr(url, '://') > 0 THEN substr(url, 1, instr(url, '://') - 1) END AS scheme
+  FROM pages
+), q AS (
+  SELECT p.*, regexp_extract(rest, '^[^/?#]*') AS raw_host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    translate(scheme, a, b) || '://' || translate(regexp_extract(rest, '^[^/?#]*'), a, b)
+      || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS node
+  FROM p, small
+), tags AS (
+  SELECT *, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM q WHERE scheme IS NOT NULL
+), found AS (
+  SELECT *, replace(CASE
+    WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?canonical\b')
+      THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b')
+      THEN regexp_extract(tag, '(?is)\burl\s*=\s*([^"''\s>]+)', 1)
+    ELSE '' END, '&amp;', '&') AS target
+  FROM tags
+), resolved AS (
+  SELECT node, CASE
+    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+    WHEN starts_with(target, '//') THEN scheme || ':' || target
+    WHEN starts_with(target, '/') THEN scheme || '://' || raw_host || target
+    WHEN starts_with(target, '?') THEN scheme || '://' || raw_host || path || target
+    ELSE scheme || '://' || raw_host || CASE WHEN contains(path, '/') THEN regexp_extract(path, '^(.*/)', 1) ELSE '/' END || target
+    END AS goal
+  FROM found WHERE target <> '' AND NOT starts_with(target, '#')
+), links AS (
+  SELECT DISTINCT node AS u, translate(substr(goal, 1, instr(goal, '://') - 1), a, b) || '://'
+    || translate(regexp_extract(substr(goal, instr(goal, '://') + 3), '^[^/?#]*'), a, b)
+    || regexp_extract(substr(goal, instr(goal, '://') + 3), '^[^/?#]*([^#]*)', 1) AS v
+  FROM resolved, small
+), both_ways AS (
+  SELECT u, v FROM links UNION SELECT v, u FROM links
+), reach AS (
+  SELECT u, v FROM both_ways UNION SELECT r.u, e.v FROM reach r JOIN both_ways e ON r.v = e.u
+), aliases AS (
+  SELECT u, v, regexp_extract(substr(v, instr(v, '://') + 3), '^[^/?#]*') AS host,
+    regexp_extract(substr(v, instr(v, '://') + 3), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT u, v FROM reach UNION SELECT u, u FROM both_ways)
+), decided AS (
+  SELECT u, v, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM aliases x JOIN rules r ON (x.host = r.host OR ends_with(x.host, '.' || r.host)) AND starts_with(x.path, r.path)
+  GROUP BY u, v
+), bad AS (
+  SELECT u FROM decided GROUP BY u HAVING bool_or(verdict = 'block') AND NOT bool_or(verdict = 'allow')
+), own AS (
+  SELECT page_id, translate(raw_host, a, b) AS host, path, node FROM q, small
+), ruled AS (
+  SELECT o.page_id, arg_max(r.verdict, length(r.host || r.path)) AS verdict, arg_max(r.host || r.path, length(r.host || r.path)) AS rule
+  FROM own o JOIN rules r ON (o.host = r.host OR ends_with(o.host, '.' || r.host)) AND starts_with(o.path, r.path)
+  GROUP BY o.page_id
+)
+SELECT o.page_id, COALESCE(o.host, '') AS host, COALESCE(o.path, '') AS path, ruled.rule AS rule,
+  COALESCE(ruled.verdict, CASE WHEN bad.u IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM own o LEFT JOIN ruled ON ruled.page_id = o.page_id LEFT JOIN bad ON bad.u = o.node
+"""
+
+VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), links AS (
+  SELECT x.vec_id AS u, y.vec_id AS v FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98
+), reach AS (
+  SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+)
+SELECT e.vec_id, COALESCE(n.n_links, 0) AS n_links, LEAST(e.vec_id, COALESCE(m.least_id, e.vec_id)) AS component_id,
+  e.vec_id = LEAST(e.vec_id, COALESCE(m.least_id, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN (SELECT u, COUNT(*) AS n_links FROM links GROUP BY u) n ON n.u = e.vec_id
+LEFT JOIN (SELECT u, MIN(v) AS least_id FROM reach GROUP BY u) m ON m.u = e.vec_id
+"""
+
+SUBSTRINGS = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY win) AS c FROM windows) WHERE c > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM again
+), each_word AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d
+), kept AS (
+  SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.i) FILTER (WHERE g.i IS NULL) AS left_over,
+    COUNT(*) AS n_words, COUNT(g.i) AS n_removed
+  FROM each_word e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY e.doc_id
+)
+SELECT d.doc_id, CAST(COALESCE(n_words, 0) AS BIGINT) AS n_words, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(COALESCE(left_over, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
 STATEMENTS: dict[str, str] = {
+    "op1_decontaminate": DECONTAMINATE,
+    "op4_urls": URLS,
+    "op5_vectors": VECTORS,
+    "op6_substrings": SUBSTRINGS,
     "op9_lines": LINES,
 }
