@@ -9,11 +9,16 @@ from pyspark.sql import Column, functions as F
 
 from signalgrid.settings import LOCAL_ZONE
 
+# The last millisecond of the year 9999; micro- and nanoseconds of our time lie beyond it.
+LAST_EPOCH_MS = 253_402_300_799_999
+
 
 def local_time(epoch_ms: Column, zone: str = LOCAL_ZONE) -> Column:
-    """Epoch milliseconds to local time, cut to whole seconds."""
+    """Epoch milliseconds to local time, cut to whole seconds; null for what cannot be
+    milliseconds since 1970."""
     zero = F.lit(0)
-    seconds = F.floor(epoch_ms / 1000).cast("decimal(18,6)")
+    known = F.when(epoch_ms.between(0, LAST_EPOCH_MS), epoch_ms)
+    seconds = F.floor(known / 1000).cast("decimal(18,6)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     utc = epoch + F.make_dt_interval(zero, zero, zero, seconds)
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)

@@ -24,13 +24,17 @@ def great_circle_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> C
 
     Rounding can push the cosine of two equal (or opposite) points just outside [-1, 1],
     where ``acos`` gives NaN; the angle is then 0 (or pi). The cosine is looked at again
-    only in that case, and nulls stay null.
+    only in that case. Nulls stay null, and a NaN coordinate is no known point.
     """
     phi1, phi2 = F.radians(lat1), F.radians(lat2)
     cosine = F.sin(phi1) * F.sin(phi2) + F.cos(phi1) * F.cos(phi2) * F.cos(
         F.radians(lng2 - lng1)
     )
-    edge = F.when(cosine > 0, F.lit(0.0)).otherwise(F.lit(math.pi))
+    edge = (
+        F.when(F.isnan(cosine), F.lit(None).cast("double"))
+        .when(cosine > 0, F.lit(0.0))
+        .otherwise(F.lit(math.pi))
+    )
     return F.nanvl(F.acos(cosine), edge) * EARTH_RADIUS_KM
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from signalgrid.functions import hour_label, record_time
-from signalgrid.operators.serving import degradation_test, on_day
+from signalgrid.operators.serving import as_of, degradation_test, on_day
 from signalgrid.settings import (
     CONTINUED_HOLE,
     CRITICAL,
@@ -70,10 +70,14 @@ def current(facts: DataFrame, date: str, limits: Thresholds = Thresholds()) -> D
 
 
 def upcoming(
-    facts: DataFrame, forecast: DataFrame, date: str, limits: Thresholds = Thresholds()
+    facts: DataFrame,
+    forecast: DataFrame,
+    date: str,
+    limits: Thresholds = Thresholds(),
+    hour: int | None = None,
 ) -> DataFrame:
-    """Forecast risks in the hours after the latest measured one."""
-    now = record_time(F.lit(date).cast("date"), latest_hour(facts, date))
+    """Forecast risks in the hours after the latest measured one (up to ``hour``)."""
+    now = record_time(F.lit(date).cast("date"), latest_hour(as_of(facts, date, hour), date))
     horizon = now + F.make_dt_interval(F.lit(0), F.lit(limits.alert_horizon_hours))
     risk, hole = degradation_test(limits), F.col("forecast_rsrp") < limits.hole_rsrp
     return forecast.where(
@@ -90,7 +94,13 @@ def upcoming(
 
 
 def report(
-    facts: DataFrame, forecast: DataFrame, date: str, limits: Thresholds = Thresholds()
+    facts: DataFrame,
+    forecast: DataFrame,
+    date: str,
+    limits: Thresholds = Thresholds(),
+    hour: int | None = None,
 ) -> DataFrame:
-    """Both lists in one; ``kind`` tells them apart."""
-    return current(facts, date, limits).unionByName(upcoming(facts, forecast, date, limits))
+    """Both lists in one; ``kind`` tells them apart. ``hour`` is the last one measured."""
+    return current(as_of(facts, date, hour), date, limits).unionByName(
+        upcoming(facts, forecast, date, limits, hour)
+    )

@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType, TimestampNTZT
 
 from signalgrid.functions import clip, percent_error, record_time
 from signalgrid.schemas import FORECAST_VALUES
+from signalgrid.sources.tables import upsert
 
 SERIES = ("hex_id", "cell_id")
 TARGETS = ("user_density_count", "avg_rsrp")
@@ -258,6 +259,23 @@ def fourier(training: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
     return finish(training.groupBy(*names).applyInPandas(fit, schema))
 
 
+# ---- store ------------------------------------------------------------------------------
+
+
+def add_to_store(
+    stored: DataFrame, ahead: DataFrame, series: Sequence[str] = SERIES
+) -> DataFrame:
+    """The forecast hours that ``ahead`` touches, after it is added: of a series and hour the
+    new value, of all others what was stored. Series may end at different hours, so the hours
+    of one run also hold other series' forecasts of earlier runs.
+
+    The list of hours is broadcast: a run's has at most one per hour of lookback and horizon.
+    """
+    hours = ahead.select("forecast_date", "forecast_hour").distinct()
+    there = stored.join(F.broadcast(hours), ["forecast_date", "forecast_hour"], "left_semi")
+    return upsert(there, ahead, [*series, "forecast_time"])
+
+
 # ---- evaluation -------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from signalgrid.functions import HexGrid
 from signalgrid.operators.facts import hourly
-from signalgrid.operators.lookups import first_per_key, lookup_join
+from signalgrid.operators.lookups import first_per_key, lookup_join, newest_per_key
 from signalgrid.operators.quality import not_late
 from signalgrid.schemas import COPY_KEYS, EVENT_HOUR
 from signalgrid.sources.tables import upsert
@@ -43,10 +43,17 @@ def affected_partitions(late: DataFrame, hour: Sequence[str] = EVENT_HOUR) -> Da
 def in_partitions(df: DataFrame, hours: DataFrame, how: str = "left_semi") -> DataFrame:
     """The rows inside (or, with ``left_anti``, outside) a list of hours.
 
-    The list has about one row per hour of history; it is counted before it is broadcast.
-    On a partitioned table the semi join then prunes folders at run time.
+    The list is broadcast: it has one row per hour at most, 88,000 for ten years. On a
+    partitioned table the semi join then prunes folders at run time.
     """
-    return lookup_join(df, hours, EVENT_HOUR, how)
+    return lookup_join(df, F.broadcast(hours), EVENT_HOUR, how)
+
+
+def newest_versions(
+    late: DataFrame, order: Sequence[str], keys: Sequence[str] = MERGE_KEYS
+) -> DataFrame:
+    """Of the versions of a late measurement the last by ``order``."""
+    return newest_per_key(late, keys, order)
 
 
 def merge(
@@ -54,10 +61,12 @@ def merge(
     late: DataFrame,
     keys: Sequence[str] = MERGE_KEYS,
     newest: Sequence[str] = (),
+    hours: DataFrame | None = None,
 ) -> DataFrame:
     """The affected hours of ``silver`` with the late rows merged in; other hours are
-    neither read nor returned."""
-    return upsert(in_partitions(silver, affected_partitions(late)), late, keys, newest)
+    neither read nor returned. ``hours`` are the affected ones if they are known already."""
+    hours = hours if hours is not None else affected_partitions(late)
+    return upsert(in_partitions(silver, hours), late, keys, newest)
 
 
 def merge_all(
@@ -66,9 +75,9 @@ def merge_all(
     keys: Sequence[str] = MERGE_KEYS,
     newest: Sequence[str] = (),
 ) -> DataFrame:
-    """The whole table after the merge."""
-    untouched = in_partitions(silver, affected_partitions(late), "left_anti")
-    return untouched.unionByName(merge(silver, late, keys, newest), allowMissingColumns=True)
+    """The whole table after the merge: hours without late rows go through it unchanged, so
+    it reads the table and the late rows once each."""
+    return upsert(silver, late, keys, newest)
 
 
 def rebuild_affected(
@@ -76,7 +85,9 @@ def rebuild_affected(
     late: DataFrame,
     cells: DataFrame,
     grid: HexGrid = HexGrid(),
+    hours: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """The facts of the affected hours only, from silver rows after the merge."""
-    return hourly(in_partitions(merged, affected_partitions(late)), cells, grid, **options)
+    hours = hours if hours is not None else affected_partitions(late)
+    return hourly(in_partitions(merged, hours), cells, grid, **options)

@@ -3,23 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 # About 200 MB of narrow dimension rows on each executor.
 MAX_BROADCAST_ROWS = 2_000_000
 
-# Row counts of lookups that are still in use; a DataFrame does not change its rows.
-_counted: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
+def fits(stored: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether a stored table is small enough to send to every executor. Counts its rows,
+    which on a Parquet table reads footers only; for the edge of a job, not for operators."""
+    return stored.count() <= rows
 
-def fits(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a table is small enough to send to every executor. Counts its rows, once; on
-    a Parquet table that reads footers only."""
-    if df not in _counted:
-        _counted[df] = df.count()
-    return _counted[df] <= rows
+
+def sized(stored: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A stored lookup marked with how to join it, by its counted size."""
+    return stored.hint("broadcast" if fits(stored, rows) else "merge")
 
 
 def lookup_join(
@@ -27,19 +26,17 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    max_rows: int = MAX_BROADCAST_ROWS,
     take: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Join a big table with a lookup: broadcast if its counted size allows. Beyond that
-    both sides are shuffled, and adaptive execution splits the partitions of hot keys. The
-    hint then keeps a low estimate from broadcasting after all.
+    """Join a big table with a lookup. No job runs here: whoever knows the size of the lookup
+    marks it (:func:`sized`), else Spark's estimate decides. Without a broadcast both sides
+    are shuffled, and adaptive execution splits the partitions of hot keys.
 
     ``take`` picks columns of the lookup and names them; by default all come along.
     """
-    strategy = "broadcast" if fits(lookup, max_rows) else "merge"
     if take is not None:
         lookup = lookup.select(*on, *(F.col(c).alias(name) for c, name in take.items()))
-    return left.join(lookup.hint(strategy), list(on), how)
+    return left.join(lookup, list(on), how)
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:

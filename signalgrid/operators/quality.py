@@ -259,11 +259,20 @@ def classify(
     scope: str = "valid",
     limits: Limits = Limits(),
     broadcast_stats: bool = False,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """All rows with ``distance_to_cell_km``, ``is_first_copy`` and ``is_clean``."""
-    located = with_distance(measurements, cells)
-    flagged = flag_first(located, [*by, *COPY_KEYS], order)
-    stats = distance_stats(located, by, scope, limits)
+    """All rows with ``distance_to_cell_km``, ``is_first_copy`` and ``is_clean``.
+
+    ``known`` are further measurements of the same batches, for the distance statistics only:
+    the rows an hour already has, when a few more are judged.
+    """
+    # First copies are settled by input partition, so before any join deals the rows anew.
+    flagged = with_distance(flag_first(measurements, [*by, *COPY_KEYS], order), cells)
+    needed = [*by, "cell_code", "lat", "lng"]
+    basis = measurements.select(*needed)
+    if known is not None:
+        basis = basis.unionByName(known.select(*needed))
+    stats = distance_stats(with_distance(basis, cells), by, scope, limits)
     scored = with_stats(flagged, stats, by, broadcast_stats)
     return scored.withColumn("is_clean", plausible(limits) & F.col("is_first_copy"))
 
@@ -292,6 +301,7 @@ def report(
     scope: str = "valid",
     limits: Limits = Limits(),
     late_apart: bool = False,
+    broadcast_stats: bool = False,
 ) -> DataFrame:
     """One row per batch: row counts, rule score, verdict.
 
@@ -306,7 +316,9 @@ def report(
     # The statistics take a second, narrow scan that shuffles one row per batch and cell.
     # Taken from the copies they would repeat the one wide shuffle of this plan.
     stats = distance_stats(with_distance(rows, cells), by, scope, limits)
-    scored = with_stats(with_distance(copies(measurements, by), cells), stats, by)
+    scored = with_stats(
+        with_distance(copies(measurements, by), cells), stats, by, broadcast_stats
+    )
     raw, late = F.sum("copies"), F.sum("late")
     clean = F.count_if(plausible(limits) & (judged > 0))
     counts = scored.groupBy(*by).agg(

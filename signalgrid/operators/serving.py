@@ -33,6 +33,15 @@ def on_day(df: DataFrame, date: str, column: str = "event_date") -> DataFrame:
     return df.where(F.col(column) == F.lit(date).cast("date"))
 
 
+def as_of(facts: DataFrame, date: str, hour: int | None) -> DataFrame:
+    """The facts as they stood after an hour of ``date``; all of them without one."""
+    if hour is None:
+        return facts
+    day = F.lit(date).cast("date")
+    earlier = F.col("event_date") < day
+    return facts.where(earlier | ((F.col("event_date") == day) & (F.col("event_hour") <= hour)))
+
+
 def slice_hours(
     df: DataFrame, mode: str = DAY, hour: int | None = None, column: str = "event_hour"
 ) -> DataFrame:
@@ -78,13 +87,14 @@ def filter_options(facts: DataFrame, forecast: DataFrame, date: str) -> DataFram
 def coerce(df: DataFrame) -> DataFrame:
     """Display types: unreadable numbers become null, a missing distance or load 0."""
     numbers = ["cell_lat", "cell_lng", "hex_center_lat", "hex_center_lng", "avg_rsrp", "p10_rsrp"]
-    columns = {c: F.col(c).try_cast("double") for c in numbers if c in df.columns}
-    columns["avg_distance_km"] = F.coalesce(
-        F.col("avg_distance_km").try_cast("double"), F.lit(0.0)
-    )
-    columns["user_density"] = F.coalesce(
-        F.col("user_density").try_cast("double").cast("bigint"), F.lit(0)
-    )
+
+    def number(name: str) -> Column:
+        # Text like "NaN" reads as a number that is none.
+        return F.nanvl(F.col(name).try_cast("double"), F.lit(None).cast("double"))
+
+    columns = {c: number(c) for c in numbers if c in df.columns}
+    columns["avg_distance_km"] = F.coalesce(number("avg_distance_km"), F.lit(0.0))
+    columns["user_density"] = F.coalesce(number("user_density").try_cast("bigint"), F.lit(0))
     columns["record_time"] = F.date_format("record_time", "yyyy-MM-dd HH:mm:ss")
     return df.withColumns(columns)
 
@@ -216,7 +226,8 @@ def week_comparison(
     hour: int | None = None,
     limits: Thresholds = Thresholds(),
 ) -> DataFrame:
-    """Status of a day next to that of the same weekday before, hour by hour."""
+    """Status of a day next to that of the same weekday before, hour by hour; rows of either
+    day alone stay. The chosen hours hold for both days, the latest being that of ``date``."""
     columns = ["health_status", "avg_rsrp", "user_density_count"]
     now = health_status(facts, date, mode, hour, limits).select(
         "hex_id", "cell_id", "event_hour", *columns
@@ -224,7 +235,32 @@ def week_comparison(
     before = health_status(facts, last_week, DAY, None, limits).select(
         "hex_id", "cell_id", "event_hour", *(F.col(c).alias(f"last_week_{c}") for c in columns)
     )
-    return now.join(before, ["hex_id", "cell_id", "event_hour"], "left")
+    if mode == LATEST:
+        newest = on_day(facts, date).agg(F.max("event_hour")).scalar()
+        before = before.where(F.col("event_hour") == newest)
+    elif mode == HOUR:
+        before = before.where(F.col("event_hour") == hour)
+    return now.join(before, ["hex_id", "cell_id", "event_hour"], "full")
+
+
+def last_week_map(
+    facts: DataFrame,
+    cells: DataFrame,
+    hexes: DataFrame,
+    date: str,
+    last_week: str,
+    mode: str = DAY,
+    hour: int | None = None,
+    limits: Thresholds = Thresholds(),
+) -> DataFrame:
+    """The map layer of the same weekday before: all its rows, or those of the chosen hour or
+    of the latest hour measured on ``date``."""
+    rows = health_status(facts, last_week, DAY, None, limits)
+    if mode == LATEST:
+        rows = rows.where(F.col("event_hour") == on_day(facts, date).agg(F.max("event_hour")).scalar())
+    else:
+        rows = slice_hours(rows, mode, hour)
+    return star_join(rows, cells, hexes)
 
 
 def forecast_status(
@@ -255,6 +291,35 @@ def forecast_status(
     return labelled
 
 
+def forecast_map(
+    forecast: DataFrame,
+    cells: DataFrame,
+    hexes: DataFrame,
+    date: str,
+    mode: str = DAY,
+    hour: int | None = None,
+    limits: Thresholds = Thresholds(),
+) -> DataFrame:
+    """The map of forecast hours, in the columns of the map of measured ones: expected users,
+    level and its lower bound; there is no distance."""
+    status = forecast_status(forecast, date, mode, hour, limits)
+    return star_join(status, cells, hexes).select(
+        "hex_id",
+        "cell_id",
+        "cell_lat",
+        "cell_lng",
+        "hex_center_lat",
+        "hex_center_lng",
+        F.col("forecast_time").alias("record_time"),
+        F.col("forecast_density").alias("user_density"),
+        F.round("forecast_rsrp", 2).alias("avg_rsrp"),
+        F.lit(0.0).alias("avg_distance_km"),
+        F.col("forecast_rsrp_lower").alias("p10_rsrp"),
+        "health_status",
+        "early_warning",
+    )
+
+
 def risk_list(
     forecast: DataFrame,
     cells: DataFrame,
@@ -381,14 +446,18 @@ def trend_forecast(forecast: DataFrame, date: str) -> DataFrame:
 
 
 def trend_spliced(
-    facts: DataFrame, forecast: DataFrame, date: str, limits: Thresholds = Thresholds()
+    facts: DataFrame,
+    forecast: DataFrame,
+    date: str,
+    limits: Thresholds = Thresholds(),
+    hour: int | None = None,
 ) -> DataFrame:
-    """The measured hours of a day, then the forecast for the rest of it.
+    """The measured hours of a day (up to ``hour``), then the forecast for the rest of it.
 
     Measured rows are their own bounds; forecast rows repeat the last measured number of
     poor rows, or 0 if nothing was measured.
     """
-    measured = trend_history(facts, date, limits).withColumns(
+    measured = trend_history(as_of(facts, date, hour), date, limits).withColumns(
         {
             "upper_density": F.col("total_density").cast("double"),
             "lower_rsrp": F.col("mean_rsrp"),

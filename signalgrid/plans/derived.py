@@ -22,6 +22,8 @@ GRID = HexGrid(edge_km=EDGE_KM)
 SERVING_GRID = HexGrid(edge_km=SERVING_EDGE_KM)
 DAY = "2024-01-24"
 LAST_WEEK = "2024-01-17"
+DAY_BEFORE = "2024-01-23"
+AFTER_LAST = "2024-01-31"  # nothing is measured on this day
 NOON = 11  # the last hour that has been measured in the queries that look ahead
 LIMITS = Thresholds(dense_users=3)
 DIGITS = 6
@@ -49,6 +51,8 @@ MEASUREMENT_FIELDS = {
     "batch_hour": """CAST(extract(hour FROM ts + CASE WHEN event_id % 40 = 0
         THEN INTERVAL '1' HOUR ELSE INTERVAL '0' HOUR END) AS INT)""",
 }
+ODD_TIME = """CASE WHEN event_id % 83 = 0 THEN NULL WHEN event_id % 89 = 0
+    THEN time_ms * 1000 ELSE time_ms END"""
 COPIES = "CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END"
 
 CELL_VALUES = """SELECT
@@ -104,7 +108,8 @@ class Tables:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return dimensions.cell_dim(self.spark.sql(CELL_VALUES))
+        # Broadcast: one row per type of event.
+        return F.broadcast(dimensions.cell_dim(self.spark.sql(CELL_VALUES)))
 
     @cached_property
     def hexes(self) -> DataFrame:
@@ -112,21 +117,15 @@ class Tables:
 
     @cached_property
     def serving_hexes(self) -> DataFrame:
-        return dimensions.hex_dim(
-            dimensions.covered_box(self.measurements), SERVING_GRID, tasks=8
+        # Broadcast: the country has some 70,000 hexagons of this size.
+        return F.broadcast(
+            dimensions.hex_dim(dimensions.covered_box(self.measurements), SERVING_GRID, tasks=8)
         )
 
     @cached_property
     def facts(self) -> DataFrame:
         return facts.hourly(self.measurements, self.cells, SERVING_GRID, digits=DIGITS)
 
-    @cached_property
-    def facts_until_noon(self) -> DataFrame:
-        """The facts as they stand at noon of the serving day."""
-        today = F.lit(DAY).cast("date")
-        date, hour = F.col("event_date"), F.col("event_hour")
-        return self.facts.where((date < today) | ((date == today) & (hour <= NOON)))
-
     @cached_property
     def training(self) -> DataFrame:
         return forecast.history(self.facts, DAY)
@@ -165,6 +164,11 @@ def as_measurements(events: DataFrame) -> DataFrame:
     return repeated.selectExpr(*select_list(MEASUREMENT_FIELDS))
 
 
+def with_odd_times(measurements: DataFrame) -> DataFrame:
+    """Some event times missing, some in microseconds."""
+    return measurements.withColumn("time_ms", F.expr(ODD_TIME))
+
+
 def with_time_ms(measurements: DataFrame) -> DataFrame:
     """The event time as epoch milliseconds, as landing files have it."""
     days = F.datediff(F.to_date("ts"), F.lit("1970-01-01"))

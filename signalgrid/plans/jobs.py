@@ -9,8 +9,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from signalgrid.functions import HexGrid
@@ -37,6 +37,7 @@ class Lake:
         return f"{self.root.rstrip('/')}/{LOCATIONS[name]}"
 
 
+# Folders and names of the tables, which an existing lake already has.
 LOCATIONS = {
     "landing": "landing",
     "mdt_raw": "bronze/mdt_raw",
@@ -44,6 +45,7 @@ LOCATIONS = {
     "mdt_clean": "silver/mdt_clean",
     "dirty_data": "silver/dirty_data",
     "late_arrival": "silver/late_arrival_data",
+    "late_merged": "silver/late_merged",
     "quality_report": "silver/quality_report",
     "dim_cell": "gold/dim_cell",
     "dim_hex": "gold/dim_hex",
@@ -132,8 +134,8 @@ def check_quality(
 ) -> bool:
     """Split an hour into clean, quarantined and late rows and write its report.
 
-    Running an hour again replaces it. Late rows that had been merged into it come back by
-    running the batches they arrived with again, then :func:`merge_late`.
+    Running an hour again replaces it; late rows that had been merged into it are merged
+    again.
 
     Raises :class:`QualityGateError` after writing if the rule score is too low.
     """
@@ -141,24 +143,28 @@ def check_quality(
     raw = read_partition(read_table(spark, lake.mdt_raw, merge=True), **batch)
     if raw.isEmpty():
         return False
-    cells = read_table(spark, lake.dim_cell)
+    stored_cells = read_table(spark, lake.dim_cell)
+    few = lookups.fits(stored_cells)
+    cells = stored_cells.hint("broadcast" if few else "merge")
     on_time, behind = late.split(raw)
     # Only cells with a station have valid distances, so the statistics of one batch have at
     # most as many rows as the dimension.
-    rated = quality.classify(
-        on_time, cells, by=BATCH, limits=limits, broadcast_stats=lookups.fits(cells)
-    ).persist(StorageLevel.DISK_ONLY)
-    owned = [{"event_date": batch["batch_date"], "event_hour": hour}]
-    try:
-        clean, dirty = quality.split(rated)
-        replace_partitions(quality.stamp(clean), lake.mdt_clean, EVENT_HOUR, owned)
-        replace_partitions(quality.stamp(dirty), lake.dirty_data, EVENT_HOUR, owned)
-    finally:
-        rated.unpersist()
-    replace_partitions(behind, lake.late_arrival, BATCH, owned=[batch])
-    scored = quality.report(raw, cells, limits=limits, late_apart=True).withColumn(
-        "created_at", F.current_timestamp()
+    rated = materialise(
+        quality.classify(on_time, cells, by=BATCH, limits=limits, broadcast_stats=few)
     )
+    own = {"event_date": batch["batch_date"], "event_hour": hour}
+    clean, dirty = quality.split(rated)
+    clean = quality.stamp(clean)
+    if tables.table_exists(spark, lake.late_merged):
+        again = read_partition(read_table(spark, lake.late_merged, merge=True), **own)
+        clean = tables.upsert(clean, again, late.MERGE_KEYS, LATE_ORDER).drop(*BATCH)
+    # Set aside first: a run that stops after this finds the late rows again.
+    replace_partitions(behind, lake.late_arrival, BATCH, owned=[batch])
+    replace_partitions(clean, lake.mdt_clean, EVENT_HOUR, [own])
+    replace_partitions(quality.stamp(dirty), lake.dirty_data, EVENT_HOUR, [own])
+    scored = quality.report(
+        raw, cells, limits=limits, late_apart=True, broadcast_stats=few
+    ).withColumn("created_at", F.current_timestamp())
     replace_partitions(scored, lake.quality_report, BATCH)
     written = read_partition(read_table(spark, lake.quality_report), **batch)
     below = quality.failing(written, gate).first()
@@ -174,13 +180,16 @@ def build_facts(
     clean = read_partition(read_table(spark, lake.mdt_clean, merge=True), **own)
     if clean.isEmpty():
         return False
-    hourly = facts.hourly(clean, read_table(spark, lake.dim_cell), grid)
+    hourly = facts.hourly(clean, lookups.sized(read_table(spark, lake.dim_cell)), grid)
     replace_partitions(hourly, lake.fact_hourly, EVENT_HOUR, owned=[own])
     return True
 
 
 # ---- late rows --------------------------------------------------------------------------
 
+#: Of several versions of a late measurement, the one from the newest batch counts.
+LATE_ORDER = [*BATCH, "processed_at"]
+
 
 def merge_late(
     spark: SparkSession, lake: Lake, limits: Limits = Limits(), grid: HexGrid = HexGrid()
@@ -188,26 +197,55 @@ def merge_late(
     """Merge quarantined late rows into the clean table, rebuild the facts of their hours,
     then empty the quarantine.
 
-    Only hours with late rows are read and written. Rows still pass the quality rules
-    before they are merged. After a crash the job can run again: the merge changes nothing
-    the second time, rejected rows may be listed twice.
+    Only hours with late rows are read and written. Rows still pass the quality rules before
+    they are merged, by the distance statistics of their whole hour. What is merged is also
+    kept by itself, for a later run of the hour. After a crash the job can run again: the
+    merge changes nothing the second time, rejected rows may be listed twice.
     """
     if not tables.table_exists(spark, lake.late_arrival):
         return False
     behind = read_table(spark, lake.late_arrival, merge=True)
     if behind.isEmpty():
         return False
-    cells = read_table(spark, lake.dim_cell)
-    clean, dirty = quality.split(
-        quality.classify(late.dedup_late(behind), cells, by=EVENT_HOUR, limits=limits)
+    cells = lookups.sized(read_table(spark, lake.dim_cell))
+    waiting = late.affected_partitions(behind)
+    stored = [
+        late.in_partitions(read_table(spark, path, merge=True), waiting).select(
+            *EVENT_HOUR, "cell_code", "lat", "lng"
+        )
+        for path in (lake.mdt_clean, lake.dirty_data)
+        if tables.table_exists(spark, path)
+    ]
+    rated = quality.classify(
+        late.dedup_late(behind),
+        cells,
+        by=EVENT_HOUR,
+        limits=limits,
+        known=reduce(DataFrame.unionByName, stored) if stored else None,
     )
+    clean, dirty = quality.split(rated, drop=())
     arrivals = materialise(quality.stamp(clean))
-    silver = read_table(spark, lake.mdt_clean, merge=True)
-    merged = materialise(late.merge(silver, arrivals, newest=["processed_at"]))
+    rejected = materialise(quality.stamp(dirty).drop(*BATCH))
     hours = materialise(late.affected_partitions(arrivals))
+    kept = late.newest_versions(arrivals, LATE_ORDER)
+    if tables.table_exists(spark, lake.late_merged):
+        before = read_table(spark, lake.late_merged, merge=True)
+        kept = late.newest_versions(
+            tables.align_union(late.in_partitions(before, hours), kept), LATE_ORDER
+        )
+    kept = materialise(kept)
+    replace_partitions(kept, lake.late_merged, EVENT_HOUR)
     hours.coalesce(1).write.mode("overwrite").json(lake.affected)
+    # A first late row may come before any other row of the table.
+    silver = (
+        read_table(spark, lake.mdt_clean, merge=True)
+        if tables.table_exists(spark, lake.mdt_clean)
+        else kept.drop(*BATCH).limit(0)
+    )
+    merged = late.merge(silver, kept, newest=LATE_ORDER, hours=hours)
+    merged = materialise(merged.drop(*BATCH))
     replace_partitions(merged, lake.mdt_clean, EVENT_HOUR)
-    tables.append(quality.stamp(dirty), lake.dirty_data, EVENT_HOUR)
+    tables.append(rejected, lake.dirty_data, EVENT_HOUR)
     replace_partitions(facts.hourly(merged, cells, grid), lake.fact_hourly, EVENT_HOUR)
     tables.truncate(spark, lake.late_arrival, BATCH)
     return True
@@ -226,13 +264,18 @@ def run_forecast(
     """Forecast the 24 hours after each series' last hour before ``date``, by ``model`` or
     else by trend and hour-of-day effect.
 
-    Replaces the forecast's own hours only, so the forecasts of earlier days stay for
-    evaluation.
+    A forecast replaces only an earlier one of the same series and hour; all others stay for
+    evaluation, also where they share an hour with a new one.
     """
     training = forecast.history(read_table(spark, lake.fact_hourly), date, days)
     if training.isEmpty():
         return False
     ahead = model(training) if model else forecast.seasonal(training, date)
+    if tables.table_exists(spark, lake.forecast):
+        ahead = materialise(ahead)
+        stored = read_table(spark, lake.forecast, merge=True)
+        # The result reads the hours it replaces.
+        ahead = materialise(forecast.add_to_store(stored, ahead))
     replace_partitions(ahead, lake.forecast, ["forecast_date", "forecast_hour"])
     return True
 

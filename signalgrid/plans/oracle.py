@@ -16,8 +16,11 @@ from signalgrid.plans.derived import (
     FOCUS_CELL,
     LAST_WEEK,
     LIMITS,
+    AFTER_LAST,
+    DAY_BEFORE,
     MEASUREMENT_FIELDS,
     NOON,
+    ODD_TIME,
     SERVING_EDGE_KM,
     STATION_NUMBER,
     select_list,
@@ -434,10 +437,48 @@ FROM hexes""",
   round(station_lat + 0.005e0 * cos(radians(azimuth + 30)), 6) AS p3_lat,
   round(station_lng, 6) AS p4_lng, round(station_lat, 6) AS p4_lat FROM dim""",
     "derive_partitions": f"""WITH {TIMED},
-moved AS (SELECT *, date_trunc('second', ts) + INTERVAL 7 HOUR AS local FROM timed)
+moved AS (SELECT * REPLACE ({ODD_TIME} AS time_ms), CASE WHEN event_id % 83 = 0 OR event_id % 89 = 0
+    THEN batch_date + INTERVAL 1 HOUR * batch_hour
+    ELSE date_trunc('second', ts) + INTERVAL 7 HOUR END AS local FROM timed)
 SELECT event_id, time_ms, strftime(local, '%Y-%m-%d') AS event_date,
   CAST(hour(local) AS INTEGER) AS event_hour, strftime(local, '%Y-%m-%d-%H') AS date_hour,
   {day('batch_date')}, batch_hour FROM moved""",
+    "landing_stream": f"""WITH {TIMED},
+moved AS (SELECT *, date_trunc('second', ts) + INTERVAL 7 HOUR AS local FROM timed)
+SELECT event_id, time_ms, p_cell_rsrp, strftime(local, '%Y-%m-%d') AS event_date,
+  CAST(hour(local) AS INTEGER) AS event_hour, {day('batch_date')}, 0 AS batch_hour FROM moved""",
+    "csv_measurements": f"""WITH {TIMED} SELECT event_id, device_code, time_ms, lat, lng, cell_code,
+  p_cell_rsrp, p_cell_rsrq FROM timed""",
+    "csv_cells": f"""WITH {RECORDS} SELECT event_id, cell_code, x, y, station_code, azimuth,
+  province_name, district_name FROM records""",
+    "compacted_write": f"""WITH {MDT} SELECT CAST(3 AS BIGINT) AS files, count(*) AS row_count
+FROM mdt""",
+    "truncate_table": f"""WITH {MDT} SELECT event_id, device_code, event_hour FROM mdt
+WHERE event_hour < 6""",
+    "register_table": f"""WITH {MDT} SELECT event_id, device_code, {day('event_date')} FROM mdt""",
+    "forecast_store": f"""SELECT * FROM (WITH {FORECAST} SELECT hex_id, cell_id, {FORECAST_COLUMNS}
+  FROM forecast)
+UNION ALL SELECT * FROM (WITH {FORECAST.replace(DAY, DAY_BEFORE)}
+  SELECT hex_id, cell_id, {FORECAST_COLUMNS} FROM forecast)
+WHERE (hex_id, cell_id, forecast_time) NOT IN (SELECT (hex_id, cell_id, forecast_time)
+  FROM (WITH {FORECAST} SELECT hex_id, cell_id, {moment('forecast_time')} FROM forecast))""",
+    "forecast_map": f"""WITH {FORECAST_STATE},{HEXES} SELECT e.hex_id, e.cell_id,
+  c.station_lat AS cell_lat, c.station_lng AS cell_lng,
+  round(h.hex_center_lat, 6) AS hex_center_lat, round(h.hex_center_lng, 6) AS hex_center_lng,
+  {moment('forecast_time', 'record_time')}, forecast_density AS user_density,
+  round(forecast_rsrp, 2) AS avg_rsrp, 0.0e0 AS avg_distance_km,
+  forecast_rsrp_lower AS p10_rsrp, health_status, early_warning
+FROM expected e LEFT JOIN cells c ON c.cell_id = e.cell_id LEFT JOIN hexes h ON h.hex_id = e.hex_id
+WHERE health_status NOT IN ('normal', 'good')""",
+    "last_week_map": f"""WITH {FACT},{HEXES},{status('fact', 'old', LAST_WEEK)},
+slices AS (SELECT *, 'day' AS slice FROM old
+  UNION ALL SELECT *, 'hour' FROM old WHERE event_hour = {NOON}
+  UNION ALL SELECT *, 'latest' FROM old WHERE event_hour = (SELECT max(event_hour) FROM fact
+    WHERE event_date = DATE '{DAY}'))
+SELECT s.hex_id, s.cell_id, {moment('record_time')}, user_density_count, avg_rsrp, density_diff,
+  bad_hours, health_status, slice, c.station_lat AS cell_lat, c.station_lng AS cell_lng,
+  round(h.hex_center_lat, 6) AS hex_center_lat, round(h.hex_center_lng, 6) AS hex_center_lng
+FROM slices s LEFT JOIN cells c ON c.cell_id = s.cell_id LEFT JOIN hexes h ON h.hex_id = s.hex_id""",
     "normalize_key": f"""WITH {MDT} SELECT event_id, cell_code,
   {key('cell_code')} AS cell_id FROM mdt""",
     "distance_to_cell": f"""WITH {LOCATED} SELECT event_id, cell_id,
@@ -521,13 +562,15 @@ SELECT cell_id, {FORECAST_COLUMNS} FROM forecast""",
     "health_status": f"""WITH {FACT},{status('fact', 'state', DAY)}
 SELECT {STATUS_COLUMNS} FROM state""",
     "health_status_last_week": f"""WITH {FACT},{status('fact', 'state', DAY)},
-{status('fact', 'old', LAST_WEEK)} SELECT s.hex_id, s.cell_id, s.event_hour, s.health_status,
-  s.avg_rsrp, s.user_density_count, o.health_status AS last_week_health_status,
+{status('fact', 'old', LAST_WEEK)} SELECT coalesce(s.hex_id, o.hex_id) AS hex_id,
+  coalesce(s.cell_id, o.cell_id) AS cell_id, coalesce(s.event_hour, o.event_hour) AS event_hour,
+  s.health_status, s.avg_rsrp, CAST(s.user_density_count AS DOUBLE) AS user_density_count,
+  o.health_status AS last_week_health_status,
   o.avg_rsrp AS last_week_avg_rsrp,
   CAST(o.user_density_count AS DOUBLE) AS last_week_user_density_count
-FROM state s LEFT JOIN old o ON o.hex_id = s.hex_id AND o.cell_id = s.cell_id
+FROM state s FULL JOIN old o ON o.hex_id = s.hex_id AND o.cell_id = s.cell_id
   AND o.event_hour = s.event_hour""",
-    "latest_hour_slice": f"""WITH {FACT},{UNTIL_NOON},{status('noon', 'state', DAY)}
+    "latest_hour_slice": f"""WITH {FACT},{status('fact', 'state', DAY)}
 SELECT {STATUS_COLUMNS} FROM state WHERE event_hour = (SELECT max(event_hour) FROM state)""",
     "hour_slice": f"""WITH {FACT},{status('fact', 'state', DAY)}
 SELECT {STATUS_COLUMNS} FROM state WHERE event_hour = {NOON}""",
@@ -570,13 +613,15 @@ WHERE forecast_hour = (SELECT max(forecast_hour) FROM expected)""",
 FROM risks""",
     "filter_options": f"""WITH {FACT} SELECT DISTINCT hex_id, cell_id FROM fact
 WHERE event_date = DATE '{DAY}'""",
-    "filter_options_fallback": f"""WITH {FORECAST} SELECT DISTINCT hex_id, cell_id FROM forecast
-WHERE forecast_date = DATE '{DAY}'""",
+    "filter_options_fallback": f"""WITH {FORECAST.replace(DAY, AFTER_LAST)} SELECT DISTINCT hex_id,
+  cell_id FROM forecast WHERE forecast_date = DATE '{AFTER_LAST}'""",
     "coerce_serving": f"""WITH {FACT} SELECT hex_id, cell_id,
   CASE WHEN event_hour % 7 = 0 THEN NULL ELSE avg_rsrp END AS avg_rsrp,
   CASE WHEN event_hour % 5 = 0 THEN NULL ELSE p10_rsrp END AS p10_rsrp,
-  coalesce(avg_distance_km, 0.0e0) AS avg_distance_km,
-  CASE WHEN event_hour % 11 = 0 THEN 0 ELSE user_density_count END AS user_density,
+  CASE WHEN user_density_count % 4 = 3 THEN 0.0e0 ELSE coalesce(avg_distance_km, 0.0e0) END
+    AS avg_distance_km,
+  CASE WHEN event_hour % 11 = 0 OR user_density_count % 4 = 3 THEN 0 ELSE user_density_count END
+    AS user_density,
   strftime(event_date, '%Y-%m-%d 00:00:00') AS record_time, event_hour FROM fact""",
     "kpi_week_over_week": f"WITH {FACT} {KPI}",
     "trend_history": f"""WITH {FACT},{TREND.format(source='fact')} SELECT {moment('record_time')},
@@ -607,7 +652,8 @@ SELECT CAST(dow_num AS INTEGER) AS dow_num, CAST(event_hour AS INTEGER) AS event
     "weekday_of_day": f"""WITH {MDT} SELECT {day('event_date')},
   CAST(isodow(event_date) AS INTEGER) AS dow_num, count(*) AS row_count FROM mdt
 GROUP BY mdt.event_date""",
-    "alert_current": f"WITH {ALERTS} SELECT * FROM now_alerts",
+    "alert_current": f"""WITH {ALERTS.replace(f'event_hour <= {NOON}', 'event_hour <= 23')}
+SELECT * FROM now_alerts""",
     "alert_forecast": f"WITH {ALERTS} SELECT * FROM next_alerts",
     "alert_report": f"""WITH {ALERTS} SELECT * FROM now_alerts
 UNION ALL SELECT * FROM next_alerts""",
@@ -618,7 +664,10 @@ SELECT hex_id, cell_id, {moment('hour_start')}, {MEASURES} FROM fact
 WHERE fact.hour_start + INTERVAL 1 HOUR
   <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL '{WATERMARK}'""",
     "stream_dedup": f"WITH {MDT} SELECT DISTINCT {KEYS} FROM mdt",
-    "stream_late_repair": f"""WITH {TIMED} SELECT event_id, device_code, time_ms, p_cell_rsrp,
-  {day('event_date')} FROM timed QUALIFY row_number() OVER (PARTITION BY timed.event_date,
-  event_hour, device_code, time_ms ORDER BY batch_date DESC, batch_hour DESC, event_id DESC) = 1""",
+    "stream_late_repair": f"""WITH {TIMED},
+odd AS (SELECT * REPLACE ({ODD_TIME} AS time_ms) FROM timed)
+SELECT event_id, device_code, time_ms, p_cell_rsrp, {day('event_date')} FROM odd
+QUALIFY time_ms IS NULL OR row_number() OVER (PARTITION BY odd.event_date, event_hour, device_code,
+  time_ms ORDER BY batch_date DESC, batch_hour DESC, event_id DESC) = 1""",
 }
+STATEMENTS["upsert_stored_cells"] = STATEMENTS["upsert_dim_cell"]

@@ -30,12 +30,16 @@ from signalgrid.plans.derived import (
     GRID,
     LAST_WEEK,
     LIMITS,
+    AFTER_LAST,
+    DAY_BEFORE,
     NOON,
     SERVING_GRID,
     Tables,
     as_measurements,
+    with_odd_times,
     with_time_ms,
 )
+from signalgrid.schemas import CELL_COLUMNS, MEASUREMENT_COLUMNS
 from signalgrid.sources import landing, tables
 from signalgrid.streaming import streams
 
@@ -103,6 +107,68 @@ def replace_partitions(t: Tables) -> DataFrame:
     return tables.read_table(t.spark, path)
 
 
+@query
+def csv_measurements(t: Tables) -> DataFrame:
+    folder = tables.work_folder(t.spark) + "/csv"
+    fields = ["event_id", *MEASUREMENT_COLUMNS]
+    with_time_ms(t.measurements).select(*fields).write.option("header", True).csv(folder)
+    return landing.read_measurements(t.spark, folder).withColumn(
+        "event_id", F.col("event_id").cast("bigint")
+    )
+
+
+@query
+def csv_cells(t: Tables) -> DataFrame:
+    folder = tables.work_folder(t.spark) + "/csv"
+    t.cell_records.select("event_id", *CELL_COLUMNS).write.option("header", True).csv(folder)
+    return landing.read_cells(t.spark, folder).withColumn(
+        "event_id", F.col("event_id").cast("bigint")
+    )
+
+
+@query
+def compacted_write(t: Tables) -> DataFrame:
+    """A write in three files, seen from its files."""
+    path = tables.work_folder(t.spark) + "/measurements"
+    tables.write_table(t.measurements, path, files=3)
+    written = tables.read_table(t.spark, path)
+    return written.agg(
+        F.count_distinct("_metadata.file_path").alias("files"), F.count("*").alias("row_count")
+    )
+
+
+@query
+def truncate_table(t: Tables) -> DataFrame:
+    """A table emptied and filled again has the new rows only."""
+    path = tables.work_folder(t.spark) + "/measurements"
+    rows = t.measurements.select("event_id", "device_code", "event_hour")
+    tables.write_table(rows, path)
+    tables.truncate(t.spark, path)
+    tables.append(rows.where("event_hour < 6"), path)
+    return tables.read_table(t.spark, path)
+
+
+@query
+def register_table(t: Tables) -> DataFrame:
+    path = tables.work_folder(t.spark) + "/measurements"
+    rows = t.measurements.select("event_id", "device_code", "event_date")
+    tables.write_table(rows, path, ["event_date"])
+    tables.register(t.spark, "signalgrid_measurements", path, replace=True)
+    return t.spark.table("signalgrid_measurements")
+
+
+@query
+def upsert_stored_cells(t: Tables) -> DataFrame:
+    """As ``upsert_dim_cell``, through the stored table."""
+    path = tables.work_folder(t.spark) + "/dim_cell"
+    district = F.col("district_name")
+    before = F.col("loaded_at") < F.lit(DAY).cast("timestamp_ntz")
+    for part in (before & (district <= "D3"), ~before & (district >= "D2")):
+        new = dimensions.cell_dim(t.cell_records.where(part), ["loaded_at", "event_id"])
+        tables.upsert_table(new, path, ["cell_id"])
+    return tables.read_table(t.spark, path)
+
+
 @query
 def schema_evolution_union(t: Tables) -> DataFrame:
     columns = ["event_id", "cell_code", "p_cell_rsrp"]
@@ -173,7 +239,7 @@ def sector_polygons(t: Tables) -> DataFrame:
 
 @query
 def derive_partitions(t: Tables) -> DataFrame:
-    raw = with_time_ms(t.measurements).drop("event_date", "event_hour")
+    raw = with_odd_times(with_time_ms(t.measurements)).drop("event_date", "event_hour")
     derived = landing.derive_partitions(raw, F.col("batch_date"), F.col("batch_hour"))
     return derived.select(
         "event_id", "time_ms", "event_date", "event_hour", "date_hour", "batch_date", "batch_hour"
@@ -351,8 +417,9 @@ def merge_late(t: Tables) -> DataFrame:
 
 @query
 def rebuild_affected(t: Tables) -> DataFrame:
+    # The merge returns the affected hours only.
     merged = late.merge(t.silver, t.late_rows, newest=MERGE_ORDER)
-    return late.rebuild_affected(merged, t.late_rows, t.cells, GRID, digits=DIGITS)
+    return facts.hourly(merged, t.cells, GRID, digits=DIGITS)
 
 
 # ---- forecast ---------------------------------------------------------------------------
@@ -380,6 +447,19 @@ def forecast_fourier(t: Tables) -> DataFrame:
     return forecast.fourier(t.training)
 
 
+@query
+def forecast_store(t: Tables) -> DataFrame:
+    """Two runs into one table: series end at different hours, so the runs share hours."""
+    path = tables.work_folder(t.spark) + "/forecast"
+    keys = ["forecast_date", "forecast_hour"]
+    before = forecast.seasonal(forecast.history(t.facts, DAY_BEFORE), DAY_BEFORE)
+    tables.replace_partitions(before, path, keys)
+    stored = tables.read_table(t.spark, path)
+    merged = tables.materialise(forecast.add_to_store(stored, t.forecast))
+    tables.replace_partitions(merged, path, keys)
+    return tables.read_table(t.spark, path)
+
+
 ERRORS = ["mae_density", "rmse_density", "mape_density", "mae_rsrp", "rmse_rsrp"]
 
 
@@ -430,12 +510,25 @@ def health_status(t: Tables) -> DataFrame:
 @query
 def health_status_last_week(t: Tables) -> DataFrame:
     weeks = serving.week_comparison(t.facts, DAY, LAST_WEEK, limits=LIMITS)
-    return as_double(weeks, "last_week_user_density_count")
+    return as_double(weeks, "user_density_count", "last_week_user_density_count")
+
+
+@query
+def last_week_map(t: Tables) -> DataFrame:
+    layers = [
+        serving.last_week_map(
+            t.facts, t.cells, t.serving_hexes, DAY, LAST_WEEK, mode, hour, LIMITS
+        ).withColumn("slice", F.lit(mode))
+        for mode, hour in ((serving.DAY, None), (serving.HOUR, NOON), (serving.LATEST, None))
+    ]
+    rows = layers[0].unionByName(layers[1]).unionByName(layers[2])
+    positions = ["cell_lat", "cell_lng", "hex_center_lat", "hex_center_lng"]
+    return rounded(rows.select(*STATUS_COLUMNS, *positions, "slice"), *positions[2:])
 
 
 @query
 def latest_hour_slice(t: Tables) -> DataFrame:
-    status = serving.health_status(t.facts_until_noon, DAY, serving.LATEST, limits=LIMITS)
+    status = serving.health_status(t.facts, DAY, serving.LATEST, limits=LIMITS)
     return status.select(*STATUS_COLUMNS)
 
 
@@ -526,6 +619,12 @@ def forecast_status_latest(t: Tables) -> DataFrame:
     return serving.forecast_status(t.forecast, DAY, serving.LATEST, limits=LIMITS)
 
 
+@query
+def forecast_map(t: Tables) -> DataFrame:
+    view = serving.forecast_map(t.forecast, t.cells, t.serving_hexes, DAY, limits=LIMITS)
+    return rounded(view, "hex_center_lat", "hex_center_lng")
+
+
 @query
 def risk_list(t: Tables) -> DataFrame:
     risks = serving.risk_list(t.forecast, t.cells, t.serving_hexes, DAY, LIMITS)
@@ -539,22 +638,24 @@ def filter_options(t: Tables) -> DataFrame:
 
 @query
 def filter_options_fallback(t: Tables) -> DataFrame:
-    """The day has forecasts but no measurements yet."""
-    past = t.facts.where(F.col("event_date") < F.lit(DAY).cast("date"))
-    return serving.filter_options(past, t.forecast, DAY)
+    """The day after the last measured one has forecasts but no measurements."""
+    ahead = forecast.seasonal(forecast.history(t.facts, AFTER_LAST), AFTER_LAST)
+    return serving.filter_options(t.facts, ahead, AFTER_LAST)
 
 
 @query
 def coerce_serving(t: Tables) -> DataFrame:
     """Facts as text with unreadable entries, back to display types."""
     hour = F.col("event_hour")
+    odd = F.col("user_density_count") % 4 == 3
     text = t.facts.select(
         "hex_id",
         "cell_id",
         F.when(hour % 7 == 0, "n/a").otherwise(F.col("avg_rsrp").cast("string")).alias("avg_rsrp"),
         F.when(hour % 5 == 0, "?").otherwise(F.col("p10_rsrp").cast("string")).alias("p10_rsrp"),
-        F.col("avg_distance_km").cast("string").alias("avg_distance_km"),
+        F.when(odd, "NaN").otherwise(F.col("avg_distance_km").cast("string")).alias("avg_distance_km"),
         F.when(hour % 11 == 0, "")
+        .when(odd, F.when(hour % 2 == 0, "NaN").otherwise("1e300"))
         .otherwise(F.col("user_density_count").cast("string"))
         .alias("user_density"),
         F.col("event_date").cast("timestamp_ntz").alias("record_time"),
@@ -588,7 +689,7 @@ def trend_forecast(t: Tables) -> DataFrame:
 
 @query
 def trend_spliced(t: Tables) -> DataFrame:
-    trend = serving.trend_spliced(t.facts_until_noon, t.forecast, DAY, LIMITS)
+    trend = serving.trend_spliced(t.facts, t.forecast, DAY, LIMITS, NOON)
     return settled(rounded(trend, "upper_density"), "mean_rsrp", "lower_rsrp", "upper_rsrp")
 
 
@@ -610,17 +711,17 @@ def weekday_of_day(t: Tables) -> DataFrame:
 
 @query
 def alert_current(t: Tables) -> DataFrame:
-    return alerts.current(t.facts_until_noon, DAY, LIMITS)
+    return alerts.current(t.facts, DAY, LIMITS)
 
 
 @query
 def alert_forecast(t: Tables) -> DataFrame:
-    return alerts.upcoming(t.facts_until_noon, t.forecast, DAY, LIMITS)
+    return alerts.upcoming(t.facts, t.forecast, DAY, LIMITS, NOON)
 
 
 @query
 def alert_report(t: Tables) -> DataFrame:
-    return alerts.report(t.facts_until_noon, t.forecast, DAY, LIMITS)
+    return alerts.report(t.facts, t.forecast, DAY, LIMITS, NOON)
 
 
 # ---- streams ----------------------------------------------------------------------------
@@ -653,10 +754,32 @@ def stream_dedup(t: Tables) -> DataFrame:
     return rows.select("device_code", "lat", "lng", "cell_code", "p_cell_rsrp", "p_cell_rsrq")
 
 
+@query
+def landing_stream(t: Tables) -> DataFrame:
+    """One landing file per day of arrival, taken as a stream."""
+    work = tables.work_folder(t.spark)
+    rows = with_time_ms(t.measurements).select("batch_date", "event_id", *MEASUREMENT_COLUMNS)
+    rows.repartition("batch_date").write.option("header", True).partitionBy("batch_date").csv(
+        f"{work}/days"
+    )
+    place, files = tables.file_system(t.spark, work)
+    files.mkdirs(place(f"{work}/landing"))
+    for day in files.globStatus(place(f"{work}/days/batch_date=*/part-*")):
+        name = day.getPath().getParent().getName().removeprefix("batch_date=")
+        files.rename(day.getPath(), place(landing.landing_path(f"{work}/landing", name, 0)))
+    columns = ["event_id", *MEASUREMENT_COLUMNS]
+    stream = streams.read_landing(t.spark, f"{work}/landing", columns)
+    streams.run_available(stream, f"{work}/checkpoint", f"{work}/rows")
+    taken = tables.read_table(t.spark, f"{work}/rows").withColumn(
+        "event_id", F.col("event_id").cast("bigint")
+    )
+    return taken.select("event_id", "time_ms", "p_cell_rsrp", "event_date", "event_hour", "batch_date", "batch_hour")
+
+
 @query
 def stream_late_repair(t: Tables) -> DataFrame:
     work = tables.work_folder(t.spark)
-    rows = with_time_ms(_event_stream(t)).drop("event_time")
+    rows = with_odd_times(with_time_ms(_event_stream(t))).drop("event_time")
     step = streams.repair(f"{work}/silver", f"{work}/quarantine", newest=MERGE_ORDER)
     streams.run_available(rows, f"{work}/checkpoint", step=step)
     silver = tables.read_table(t.spark, f"{work}/silver")

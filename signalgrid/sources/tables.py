@@ -53,8 +53,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a location holds readable data."""
     try:
         read_table(spark, path)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        # Anything else (rights, a broken file) is no absence, and must not be taken for one.
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
     return True
 
 
@@ -134,12 +137,45 @@ def upsert_table(
 ) -> None:
     """Upsert into a stored table of one folder; creates it on the first load."""
     spark = new.sparkSession
+    finish_swap(spark, path)
     if table_exists(spark, path):
         merged = upsert(read_table(spark, path), new, keys, newest)
     else:
         merged = newest_per_key(new, keys, newest)
-    # The result reads the folder it replaces: settle it elsewhere first.
-    write_table(materialise(merged), path)
+    swap_table(merged, path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The class of paths, and the file system that holds one."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return place, place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def swap_table(df: DataFrame, path: str) -> None:
+    """Replace a whole table by a complete new folder: at any moment the old or the new rows
+    are there in full, in ``path`` or next to it (see :func:`finish_swap`)."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    place, files = file_system(spark, path)
+    write_table(df, f"{path}.next")
+    files.delete(place(f"{path}.last"), True)
+    if files.exists(place(path)):
+        files.rename(place(path), place(f"{path}.last"))
+    files.rename(place(f"{path}.next"), place(path))
+    files.delete(place(f"{path}.last"), True)
+    spark.catalog.refreshByPath(path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Carry a swap that was cut off to its end: of the folders next to a table that is not
+    there, the new one if it was written in full, else the old one."""
+    path = path.rstrip("/")
+    place, files = file_system(spark, path)
+    if files.exists(place(path)):
+        return
+    for name in (f"{path}.next", f"{path}.last"):
+        if files.exists(place(f"{name}/_SUCCESS")):
+            files.rename(place(name), place(path))
+            return
 
 
 def truncate(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -7,6 +7,8 @@ watermarks need one; its wall clock is the local one, under a UTC session zone.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,10 +21,12 @@ from signalgrid.schemas import COPY_KEYS, EVENT_HOUR, MEASUREMENT_COLUMNS
 from signalgrid.settings import LOCAL_ZONE, Thresholds
 from signalgrid.sources.landing import derive_partitions, typed
 from signalgrid.sources.tables import (
+    align_union,
     materialise,
     read_table,
     replace_partitions,
     table_exists,
+    upsert,
 )
 
 WATERMARK = "10 minutes"
@@ -49,6 +53,8 @@ def read_landing(
     reader = (
         spark.readStream.schema(schema)
         .option("header", True)
+        # A file whose header has other names or another order fails instead of going by place.
+        .option("enforceSchema", False)
         .option("pathGlobFilter", "mdt_*.csv")
     )
     if archive is not None:
@@ -111,9 +117,10 @@ def repair(
     merged into the hours they belong to.
 
     Every write replaces whole partitions with a result that contains them, so a batch that
-    runs twice after a failure changes nothing. The quarantine is numbered by batch, so it
-    belongs to one checkpoint. ``on_merged`` gets the merged hours, for the facts to be
-    rebuilt.
+    runs twice after a failure changes nothing. Rows without a whole merge key (no
+    ``time_ms``, say) have no versions: all stay, and carry the number of their batch, by
+    which a second run replaces them. Numbers belong to one checkpoint. ``on_merged`` gets
+    the merged hours, for the facts to be rebuilt.
     """
 
     def step(batch: DataFrame, number: int) -> None:
@@ -125,11 +132,17 @@ def repair(
                 aside.withColumn("ingest_batch", F.lit(number)), quarantine, ["ingest_batch"]
             )
             rows = flagged.drop("is_late")
-            merged = lookups.newest_per_key(rows, late.MERGE_KEYS, newest)
+            whole = reduce(and_, (F.col(key).isNotNull() for key in late.MERGE_KEYS))
+            merged = lookups.newest_per_key(rows.where(whole), late.MERGE_KEYS, newest)
             if table_exists(spark, silver):
-                merged = late.merge(read_table(spark, silver), merged, newest=newest)
+                stored = read_table(spark, silver, merge=True)
+                stored = late.in_partitions(stored, late.affected_partitions(rows))
+                if "ingest_batch" in stored.columns:
+                    stored = stored.where(~F.col("ingest_batch").eqNullSafe(F.lit(number)))
+                merged = upsert(stored, merged, late.MERGE_KEYS, newest)
+            loose = rows.where(~whole).withColumn("ingest_batch", F.lit(number))
             # The merge reads the hours it replaces.
-            settled = materialise(merged)
+            settled = materialise(align_union(merged, loose))
             replace_partitions(settled, silver, EVENT_HOUR)
             if on_merged is not None:
                 on_merged(settled)
