@@ -9,8 +9,8 @@ from pyspark.sql import Column, functions as F
 
 from signalgrid.settings import LOCAL_ZONE
 
-# The last millisecond of the year 9999; micro- and nanoseconds of our time lie beyond it.
-LAST_EPOCH_MS = 253_402_300_799_999
+# The last millisecond of 2099; micro- and nanoseconds of our time lie beyond it.
+LAST_EPOCH_MS = 4_102_444_799_999
 
 
 def local_time(epoch_ms: Column, zone: str = LOCAL_ZONE) -> Column:

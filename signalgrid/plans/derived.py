@@ -15,6 +15,9 @@ from signalgrid.functions import HexGrid
 from signalgrid.operators import dimensions, facts, forecast, late, quality
 from signalgrid.settings import Thresholds, tune
 
+EVENTS = """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,
+    props string"""
+
 # Parameters of the registered queries.
 EDGE_KM = 0.174
 SERVING_EDGE_KM = 4.0  # coarse, so that hours of a hexagon hold several devices
@@ -23,6 +26,7 @@ SERVING_GRID = HexGrid(edge_km=SERVING_EDGE_KM)
 DAY = "2024-01-24"
 LAST_WEEK = "2024-01-17"
 DAY_BEFORE = "2024-01-23"
+BUSY_DAY = "2024-01-28"  # its latest hour has alerts
 AFTER_LAST = "2024-01-31"  # nothing is measured on this day
 NOON = 11  # the last hour that has been measured in the queries that look ahead
 LIMITS = Thresholds(dense_users=3)
@@ -92,7 +96,8 @@ class Tables:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/events.parquet")
+        # With its schema, so that no job looks for it.
+        return self.spark.read.schema(EVENTS).parquet(f"{self.folder}/events.parquet")
 
     @cached_property
     def measurements(self) -> DataFrame:

@@ -17,6 +17,7 @@ from signalgrid.plans.derived import (
     LAST_WEEK,
     LIMITS,
     AFTER_LAST,
+    BUSY_DAY,
     DAY_BEFORE,
     MEASUREMENT_FIELDS,
     NOON,
@@ -652,8 +653,8 @@ SELECT CAST(dow_num AS INTEGER) AS dow_num, CAST(event_hour AS INTEGER) AS event
     "weekday_of_day": f"""WITH {MDT} SELECT {day('event_date')},
   CAST(isodow(event_date) AS INTEGER) AS dow_num, count(*) AS row_count FROM mdt
 GROUP BY mdt.event_date""",
-    "alert_current": f"""WITH {ALERTS.replace(f'event_hour <= {NOON}', 'event_hour <= 23')}
-SELECT * FROM now_alerts""",
+    "alert_current": f"""WITH {ALERTS.replace(f'event_hour <= {NOON}', 'event_hour <= 23')
+    .replace(DAY, BUSY_DAY)} SELECT * FROM now_alerts""",
     "alert_forecast": f"WITH {ALERTS} SELECT * FROM next_alerts",
     "alert_report": f"""WITH {ALERTS} SELECT * FROM now_alerts
 UNION ALL SELECT * FROM next_alerts""",

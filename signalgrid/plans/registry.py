@@ -31,6 +31,7 @@ from signalgrid.plans.derived import (
     LAST_WEEK,
     LIMITS,
     AFTER_LAST,
+    BUSY_DAY,
     DAY_BEFORE,
     NOON,
     SERVING_GRID,
@@ -711,7 +712,7 @@ def weekday_of_day(t: Tables) -> DataFrame:
 
 @query
 def alert_current(t: Tables) -> DataFrame:
-    return alerts.current(t.facts, DAY, LIMITS)
+    return alerts.current(t.facts, BUSY_DAY, LIMITS)
 
 
 @query

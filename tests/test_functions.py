@@ -21,6 +21,19 @@ from signalgrid.functions import (
 )
 
 
+def test_times_and_places_that_cannot_be(spark):
+    row = one(
+        spark,
+        micro=local_time(F.lit(1747008000123000)),
+        negative=local_time(F.lit(-1)),
+        last=local_time(F.lit(4102444799999)),
+        nowhere=great_circle_km(F.lit(math.nan), F.lit(1.0), F.lit(1.0), F.lit(1.0)),
+        here=great_circle_km(F.lit(21.0), F.lit(105.8), F.lit(21.0), F.lit(105.8)),
+    )
+    assert row.micro is None and row.negative is None and row.last is not None
+    assert row.nowhere is None and row.here == 0.0
+
+
 def one(spark, **columns):
     return spark.range(1).select(*(c.alias(n) for n, c in columns.items())).first()
 

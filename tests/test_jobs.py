@@ -123,6 +123,57 @@ def test_late_rows(spark, lake):
     assert read_table(spark, lake.mdt_clean).where("event_hour = 8").count() == before + 1
 
 
+def test_late_rows_survive_a_rerun_and_the_newest_version_counts(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("late")
+    lake = jobs.Lake(str(root))
+    (root / "landing").mkdir()
+    cells = root / "cells.csv"
+    cells.write_text(f"{CELLS}\nC1,21.001,105.801,S1,120,HN,D1\n")
+    jobs.ingest_cells(spark, lake, str(cells))
+    run_hour(spark, lake, 7, *good(7))
+    # Two versions of one late measurement, in two batches; and one 30 km away, which is
+    # plausible by itself but not among the rows of its hour.
+    run_hour(spark, lake, 8, *good(8), line("late", 7, 30, rsrp=-60), line("far", 7, 31, lat=21.27))
+    run_hour(spark, lake, 9, *good(9), line("late", 7, 30, rsrp=-99))
+    assert jobs.merge_late(spark, lake)
+
+    def hour():
+        rows = read_table(spark, lake.mdt_clean).where("event_hour = 7").collect()
+        assert "batch_date" not in rows[0]
+        return {row.device_code: row.p_cell_rsrp for row in rows}
+
+    assert len(hour()) == 41 and hour()["late"] == -99
+    assert read_table(spark, lake.dirty_data).where("device_code = 'far'").count() == 1
+    run_hour(spark, lake, 7, *good(7))
+    assert len(hour()) == 41 and hour()["late"] == -99
+    run_hour(spark, lake, 8, *good(8), line("late", 7, 30, rsrp=-60))
+    assert jobs.merge_late(spark, lake)
+    # The older version comes again and changes nothing.
+    assert len(hour()) == 41 and hour()["late"] == -99
+
+
+def test_series_of_different_ends_keep_their_forecasts(spark, tmp_path):
+    own = jobs.Lake(str(tmp_path))
+    hours = spark.sql(
+        """SELECT hex_id, 'C1' AS cell_id, date_add(DATE'2025-05-05', CAST(i DIV 24 AS INT)) AS event_date,
+        CAST(i % 24 AS INT) AS event_hour, 100 + i % 24 AS user_density_count, -90.0D - i % 5 AS avg_rsrp
+        FROM (SELECT explode(sequence(0, 8 * 24 - 1)) AS i), VALUES ('a'), ('b') v(hex_id)
+        WHERE hex_id = 'a' OR i % 24 < 21"""
+    )
+    hours.write.partitionBy("event_date", "event_hour").parquet(own.fact_hourly)
+    for day in ("2025-05-10", "2025-05-11"):
+        assert jobs.run_forecast(spark, own, day)
+
+    def kept():
+        rows = read_table(spark, own.forecast)
+        return sorted(map(tuple, rows.select("hex_id", F.col("forecast_time").cast("string"), "forecast_density").collect()))
+
+    first = kept()
+    assert [row[0] for row in first].count("a") == [row[0] for row in first].count("b") == 48
+    assert len({row[:2] for row in first}) == 96
+    assert jobs.run_forecast(spark, own, "2025-05-11") and kept() == first
+
+
 def test_forecast_and_evaluation(spark, lake, tmp_path):
     own = jobs.Lake(str(tmp_path))
     hours = spark.range(8 * 24).select(

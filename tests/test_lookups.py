@@ -12,6 +12,7 @@ from signalgrid.operators.lookups import (
     flag_first,
     lookup_join,
     newest_per_key,
+    sized,
 )
 
 
@@ -74,7 +75,7 @@ def test_lookup_join_with_and_without_broadcast(spark):
     left = spark.createDataFrame(skewed_rows(), SCHEMA)
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("unused", 3)], "k string, v int")
     assert fits(right, 3) and not fits(right, 2)
-    small = lookup_join(left, right, ["k"])
-    large = lookup_join(left, right, ["k"], max_rows=0)
+    small = lookup_join(left, sized(right, 3), ["k"])
+    large = lookup_join(left, sized(right, 2), ["k"])
     assert Counter(map(tuple, small.collect())) == Counter(map(tuple, large.collect()))
     assert small.count() == left.count()

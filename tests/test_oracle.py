@@ -11,6 +11,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from signalgrid.plans.oracle import STATEMENTS
+from signalgrid.plans.registry import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
@@ -44,14 +46,15 @@ def table(columns, rows):
 
 def test_names():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == {"forecast_fourier"}
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(QUERIES) - set(STATEMENTS) == {"forecast_fourier"}
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(STATEMENTS))
 def test_matches_sql(name, spark, oracle):
-    df = entry_points.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     got = table(df.columns, df.collect())
-    cursor = oracle.execute(entry_points.oracle_sql()[name])
+    cursor = oracle.execute(STATEMENTS[name])
     names = [c[0] for c in cursor.description]
     assert sorted(names) == sorted(df.columns)
     want = table(names, cursor.fetchall())

@@ -9,13 +9,18 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from signalgrid.operators import enrich, facts, late, quality, serving
+from signalgrid.operators import facts, late, lookups, quality, serving
 from signalgrid.plans.derived import GRID, Tables
 from signalgrid.plans.registry import QUERIES
 from signalgrid.sources import tables as tb
 
 SF = "/root/testdata/sf0.001"
-STREAMS = {"stream_fact_hourly", "stream_dedup", "stream_late_repair"}
+STREAMS = {"stream_fact_hourly", "stream_dedup", "stream_late_repair", "landing_stream"}
+# Queries that write a table and read it again.
+WRITERS = {
+    "replace_partitions", "csv_measurements", "csv_cells", "compacted_write", "truncate_table",
+    "register_table", "upsert_stored_cells", "forecast_store",
+}
 
 
 def plan(df) -> str:
@@ -76,12 +81,10 @@ def test_filters_reach_the_file(stored):
     assert "EqualTo(cell_id,CCLICK)" in pushed and "LessThan(avg_rsrp,-120.0)" in pushed
 
 
-def test_big_lookup_is_shuffled(stored, monkeypatch):
-    small = facts.hourly(stored["mdt"], stored["cells"], GRID)
-    monkeypatch.setattr(enrich.lookup_join, "__defaults__", ("left", 0, None))
-    big = facts.hourly(stored["mdt"], stored["cells"], GRID)
+def test_big_lookup_is_shuffled(stored):
+    small = facts.hourly(stored["mdt"], lookups.sized(stored["cells"]), GRID)
+    big = facts.hourly(stored["mdt"], lookups.sized(stored["cells"], 1), GRID)
     assert "SortMergeJoin" in plan(big) and "BroadcastHashJoin" not in plan(big)
-    monkeypatch.undo()
     assert "SortMergeJoin" not in plan(small)
     assert big.exceptAll(small).count() + small.exceptAll(big).count() == 0
 
@@ -100,6 +103,28 @@ def test_no_cross_join_and_no_python(spark, name):
         assert "Python" not in text and "InPandas" not in text
 
 
+def test_no_job_runs_while_a_plan_is_built(spark):
+    context = spark.sparkContext
+    for name in sorted(set(QUERIES) - STREAMS - WRITERS):
+        context.setJobGroup(f"building {name}", name)
+        QUERIES[name](spark, SF)
+        assert not context.statusTracker().getJobIdsForGroup(f"building {name}"), name
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_copies_of_one_measurement_are_spread_however_the_cells_are_joined(spark):
+    """First copies are settled by input partition, before the join by cell."""
+    t = Tables(spark, SF)
+    one = t.measurements.limit(1)
+    many = one.crossJoin(spark.range(20_000, numPartitions=16).drop("id"))
+    for hint in ("broadcast", "merge"):
+        rated = quality.classify(many, t.cells.hint(hint))
+        assert rated.where("is_first_copy").count() == 1 and rated.count() == 20_000
+        # In the plan, printed from the top, the windows stand below the join with the cells.
+        nodes = re.findall(r"\b(Window|SortMergeJoin|BroadcastHashJoin)\b", tree(rated))
+        assert nodes[-1] == "Window" or nodes.index("Window") > 0, nodes
+
+
 def test_hex_conditions_stop_at_the_grid(spark):
     """A condition on the hexagon does not pull the arithmetic into a filter."""
     t = Tables(spark, SF)

@@ -194,12 +194,14 @@ def test_holes_severity_centroid(spark):
 def test_coerce(spark):
     df = spark.createDataFrame(
         [("-90.5", "abc", None, "7", dt.datetime(2024, 1, 24, 3)),
-         ("x", "", "2.5", "?", dt.datetime(2024, 1, 24, 4))],
+         ("x", "", "2.5", "?", dt.datetime(2024, 1, 24, 4)),
+         ("NaN", "NaN", "NaN", "NaN", None), ("1", "2", "3", "1e300", None)],
         "avg_rsrp string, p10_rsrp string, avg_distance_km string, user_density string,"
         "record_time timestamp_ntz",
     )
     assert [tuple(r) for r in serving.coerce(df).collect()] == [
         (-90.5, None, 0.0, 7, "2024-01-24 03:00:00"), (None, None, 2.5, 0, "2024-01-24 04:00:00"),
+        (None, None, 0.0, 0, None), (1.0, 2.0, 3.0, 0, None),
     ]
 
 

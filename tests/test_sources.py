@@ -147,6 +147,32 @@ def test_upsert_table_and_truncate(spark, tmp_path):
     assert empty.count() == 0 and empty.columns == ["k", "v"]
 
 
+def test_a_swap_that_was_cut_off_is_finished(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *keys: spark.createDataFrame([(k, "x") for k in keys], "k long, v string")
+    tables.upsert_table(rows(1), path, ["k"])
+    # Cut off between the two renames: the new rows are complete next to the table.
+    tables.write_table(rows(1, 2), f"{path}.next")
+    (tmp_path / "t").rename(tmp_path / "t.last")
+    tables.upsert_table(rows(3), path, ["k"])
+    assert sorted(r.k for r in tables.read_table(spark, path).collect()) == [1, 2, 3]
+    # Cut off while the new rows were written: the old ones are the table.
+    tables.write_table(rows(9), f"{path}.next")
+    (tmp_path / "t.next" / "_SUCCESS").unlink()
+    (tmp_path / "t").rename(tmp_path / "t.last")
+    tables.finish_swap(spark, path)
+    assert sorted(r.k for r in tables.read_table(spark, path).collect()) == [1, 2, 3]
+
+
+def test_only_absence_is_absence(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet at all")
+    assert not tables.table_exists(spark, str(tmp_path / "empty"))
+    with pytest.raises(Exception):
+        tables.table_exists(spark, str(tmp_path / "broken"))
+
+
 def test_read_with_schema_of_missing_files(spark, tmp_path, hours):
     (tmp_path / "none").mkdir()
     assert not tables.table_exists(spark, str(tmp_path / "none"))

@@ -3,6 +3,8 @@ from __future__ import annotations
 import time
 from collections import Counter
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from signalgrid.operators import facts, late, quality
@@ -89,6 +91,29 @@ def test_landing_files_are_taken_once_and_archived(spark, tmp_path):
     assert list(archive.rglob("mdt_2025051207.csv"))
 
 
+def test_a_landing_file_in_another_order_fails(spark, tmp_path):
+    with open(landing.landing_path(str(tmp_path), "2025-05-12", 7), "w") as file:
+        file.write("device_code,time_ms,lng,lat,cell_code,p_cell_rsrp,p_cell_rsrq\nd,1747008000123,105.8,21.0,c,-90,-10\n")
+    stream = streams.read_landing(spark, str(tmp_path), COLUMNS)
+    with pytest.raises(StreamingQueryException):
+        streams.run_available(stream, str(tmp_path / "ck"), str(tmp_path / "out"))
+
+
+def test_repair_keeps_rows_without_a_time(spark, tmp_path):
+    silver, aside = str(tmp_path / "silver"), str(tmp_path / "aside")
+    step = streams.repair(silver, aside)
+    batch = spark.sql(
+        """SELECT 'd' AS device_code, CAST(IF(i < 5, NULL, 7) AS BIGINT) AS time_ms, i AS value,
+        DATE'2025-05-12' AS event_date, 7 AS event_hour, DATE'2025-05-12' AS batch_date, 7 AS batch_hour
+        FROM (SELECT explode(sequence(0, 6)) AS i)"""
+    )
+    for number in (0, 0, 1, 1):
+        step(batch, number)
+        left = tables.read_table(spark, silver)
+        assert left.where("time_ms IS NULL").count() == 5 * (number + 1)
+        assert left.where("time_ms IS NOT NULL").count() == 1
+
+
 def test_dedup(spark, tmp_path):
     stream = events_in_parts(spark, tmp_path)
     streams.run_available(
