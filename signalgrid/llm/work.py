@@ -4,20 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalgrid.sources.tables import work_folder
-
-
-def forget_at_exit(spark: SparkSession, path: str) -> None:
-    """Have the file system drop a folder when the session's driver ends."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+from signalgrid.sources.tables import file_system, work_folder
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    place, files = file_system(spark, path)
+    files.delete(place(path), True)
 
 
 #: Drops a finished execution's shuffle files; nobody reads those of a settled plan again.
@@ -31,12 +23,11 @@ def settle(df: DataFrame) -> tuple[DataFrame, str]:
     when the driver ends; a caller that is sure no plan reads it any more drops it earlier.
     """
     spark = df.sparkSession
-    path = work_folder(spark)
+    path = f"{work_folder(spark)}/rows"
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    forget_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path), path
