@@ -25,7 +25,7 @@ def bad_run_by_cell(day: DataFrame, limits: Thresholds = Thresholds()) -> DataFr
     hexagon, were bad.
 
     A cell may own a large part of all rows, so its day is cut into short stretches: an hour
-    and the first characters of the hexagon, which keep the order of the whole. A row that
+    and the first coordinate of the hexagon, whose hexagons are neighbours in the order. A row that
     has enough rows before it in its stretch is done there. The others look back over the
     ends of stretches only, at most ``2 * (critical_hours - 1)`` rows each.
     """
@@ -34,7 +34,7 @@ def bad_run_by_cell(day: DataFrame, limits: Thresholds = Thresholds()) -> DataFr
     stretch = ["cell_id", "event_date", "event_hour", "_part"]
     ahead = Window.partitionBy(*stretch).orderBy("hex_id")
     back = Window.partitionBy(*stretch).orderBy(F.col("hex_id").desc())
-    placed = day.withColumn("_part", F.substring("hex_id", 1, 5)).withColumns(
+    placed = day.withColumn("_part", F.substring_index("hex_id", ":", 1)).withColumns(
         {
             "_place": F.row_number().over(ahead),
             "_rest": F.row_number().over(back),

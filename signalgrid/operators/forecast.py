@@ -65,7 +65,9 @@ def _hours_since(start: Column, moment: Column) -> Column:
     return (F.datediff(F.to_date(moment), start) * 24 + F.hour(moment)).cast("double")
 
 
-def seasonal(training: DataFrame, until: str, series: Sequence[str] = SERIES) -> DataFrame:
+def seasonal(
+    training: DataFrame, until: str, series: Sequence[str] = SERIES, digits: int | None = None
+) -> DataFrame:
     """Linear trend plus hour-of-day effect, with a band from the residuals.
 
     The fit needs only means, variances and covariances per series and hour of day, so the
@@ -181,18 +183,18 @@ def seasonal(training: DataFrame, until: str, series: Sequence[str] = SERIES) ->
         value("rsrp", -BAND_Z).alias("forecast_rsrp_lower"),
         value("rsrp", BAND_Z).alias("forecast_rsrp_upper"),
     )
-    return finish(raw)
+    return finish(raw, digits)
 
 
-def finish(raw: DataFrame, digits: int = 6) -> DataFrame:
-    """Clip to physical ranges, round the load to whole users, add the partition columns."""
+def finish(raw: DataFrame, digits: int | None = None) -> DataFrame:
+    """Clip to physical ranges, round the load to whole users (the other values to ``digits``
+    if given), add the partition columns."""
     clipped = {
-        name: F.round(
-            clip(F.col(name), 0.0) if "rsrp" not in name else clip(F.col(name), *RSRP_RANGE),
-            digits,
-        )
+        name: clip(F.col(name), 0.0) if "rsrp" not in name else clip(F.col(name), *RSRP_RANGE)
         for name in FORECAST_VALUES
     }
+    if digits is not None:
+        clipped = {name: F.round(value, digits) for name, value in clipped.items()}
     return (
         raw.withColumns(clipped)
         .withColumn("forecast_density", F.round("forecast_density").cast("int"))
@@ -222,7 +224,9 @@ def ridge_forecast(
     return centre, centre - spread, centre + spread
 
 
-def fourier(training: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
+def fourier(
+    training: DataFrame, series: Sequence[str] = SERIES, digits: int | None = None
+) -> DataFrame:
     """Linear trend plus daily Fourier terms, one ridge fit per series.
 
     The additive model of Taylor & Letham, "Forecasting at Scale" (2018), without change
@@ -256,7 +260,7 @@ def fourier(training: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
                 out[next(columns)] = bound
         return pd.DataFrame(out)[schema.fieldNames()]
 
-    return finish(training.groupBy(*names).applyInPandas(fit, schema))
+    return finish(training.groupBy(*names).applyInPandas(fit, schema), digits)
 
 
 # ---- store ------------------------------------------------------------------------------

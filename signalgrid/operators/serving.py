@@ -505,10 +505,3 @@ def load_heatmap(facts: DataFrame, date: str, limits: Thresholds = Thresholds())
     # The grid always has 168 rows; one task takes their maximum.
     busiest = F.max("avg_density").over(Window.partitionBy("_grid"))
     return filled.withColumn("load_band", load_band(F.col("avg_density"), busiest)).drop("_grid")
-
-
-def last_measured(facts: DataFrame, keys: Sequence[str] = ("hex_id", "cell_id")) -> DataFrame:
-    """The latest hour of each series."""
-    return facts.groupBy(*keys).agg(
-        F.max(record_time(F.col("event_date"), F.col("event_hour"))).alias("last_time")
-    )

@@ -18,6 +18,7 @@ from signalgrid.plans.derived import (
     LIMITS,
     AFTER_LAST,
     BUSY_DAY,
+    DAILY_EDGE_KM,
     DAY_BEFORE,
     MEASUREMENT_FIELDS,
     NOON,
@@ -162,6 +163,7 @@ rated AS (SELECT *, rn = 1 AS is_first_copy,
 RATED = rated(BATCH)
 
 # rule, column, mostly, condition of a passing row, condition of a counted row
+# The bounds and the smallest passing share of each rule.
 RULES = [
     ("not_null", "lat", 0.95, "lat IS NOT NULL", "TRUE"),
     ("not_null", "lng", 0.95, "lng IS NOT NULL", "TRUE"),
@@ -450,6 +452,9 @@ SELECT event_id, time_ms, p_cell_rsrp, strftime(local, '%Y-%m-%d') AS event_date
   CAST(hour(local) AS INTEGER) AS event_hour, {day('batch_date')}, 0 AS batch_hour FROM moved""",
     "csv_measurements": f"""WITH {TIMED} SELECT event_id, device_code, time_ms, lat, lng, cell_code,
   p_cell_rsrp, p_cell_rsrq FROM timed""",
+    "fact_daily": f"""WITH {LOCATED},{axial('located', DAILY_EDGE_KM, 'placed')},
+{fact_from('placed', 'fact', 'event_date')} SELECT hex_id, cell_id, {day('event_date')},
+  {MEASURES} FROM fact""",
     "csv_cells": f"""WITH {RECORDS} SELECT event_id, cell_code, x, y, station_code, azimuth,
   province_name, district_name FROM records""",
     "compacted_write": f"""WITH {MDT} SELECT CAST(3 AS BIGINT) AS files, count(*) AS row_count
@@ -672,3 +677,4 @@ QUALIFY time_ms IS NULL OR row_number() OVER (PARTITION BY odd.event_date, event
   time_ms ORDER BY batch_date DESC, batch_hour DESC, event_id DESC) = 1""",
 }
 STATEMENTS["upsert_stored_cells"] = STATEMENTS["upsert_dim_cell"]
+STATEMENTS["enrich_shuffled"] = STATEMENTS["distance_to_cell"]

@@ -12,7 +12,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from signalgrid.functions import iso_weekday, normalize_key as spelled, rsrp_band as band_of
+from signalgrid.functions import HexGrid, iso_weekday, normalize_key as spelled, rsrp_band as band_of
 from signalgrid.operators import (
     alerts,
     dimensions,
@@ -32,8 +32,10 @@ from signalgrid.plans.derived import (
     LIMITS,
     AFTER_LAST,
     BUSY_DAY,
+    DAILY_EDGE_KM,
     DAY_BEFORE,
     NOON,
+    ROW_LIMITS,
     SERVING_GRID,
     Tables,
     as_measurements,
@@ -302,6 +304,25 @@ def fact_hourly(t: Tables) -> DataFrame:
     return facts.hourly(t.measurements, t.cells, GRID, digits=DIGITS)
 
 
+@query
+def fact_daily(t: Tables) -> DataFrame:
+    """By day on a coarse grid, so that a group has many rows and a percentile of its own."""
+    coarse = HexGrid(edge_km=DAILY_EDGE_KM)
+    return facts.hourly(t.measurements, t.cells, coarse, hour=["event_date"], digits=DIGITS)
+
+
+@query
+def enrich_shuffled(t: Tables) -> DataFrame:
+    """The cell join with a dimension too big to broadcast."""
+    cells = dimensions.cell_dim(t.cell_records, ["loaded_at", "event_id"]).hint("merge")
+    located = enrich.with_distance(t.measurements, cells)
+    return rounded(
+        located.select("event_id", "cell_id", "distance_to_cell_km"),
+        "distance_to_cell_km",
+        digits=3,
+    )
+
+
 @query
 def fact_from_clean(t: Tables) -> DataFrame:
     """The fact on the rows that passed the quality rules."""
@@ -323,7 +344,7 @@ def dedup_measurements(t: Tables) -> DataFrame:
 
 @query
 def distance_outliers(t: Tables) -> DataFrame:
-    scored = quality.outliers(t.measurements, t.cells, by=())
+    scored = quality.outliers(t.measurements, t.cells, by=(), limits=ROW_LIMITS)
     return rounded(
         scored.select(
             "event_id", "cell_id", "mean_distance_km", "sd_distance_km", "is_outlier"
@@ -336,7 +357,9 @@ def distance_outliers(t: Tables) -> DataFrame:
 @query
 def distance_outliers_all_rows(t: Tables) -> DataFrame:
     """Statistics over every row, sentinel distances and bad positions included."""
-    scored = quality.outliers(t.measurements, t.cells, by=(), scope="all")
+    scored = quality.outliers(
+        t.measurements, t.cells, by=(), scope="all", limits=ROW_LIMITS
+    )
     return rounded(
         scored.select("event_id", "cell_id", "mean_distance_km", "sd_distance_km", "is_outlier"),
         "mean_distance_km",
@@ -440,12 +463,12 @@ def forecast_seasonal(t: Tables) -> DataFrame:
 def forecast_by_cell(t: Tables) -> DataFrame:
     """One series per cell: hours of its hexagons are combined first."""
     training = forecast.history(t.facts, DAY, series=["cell_id"])
-    return forecast.seasonal(training, DAY, series=["cell_id"])
+    return forecast.seasonal(training, DAY, series=["cell_id"], digits=DIGITS)
 
 
 @query
 def forecast_fourier(t: Tables) -> DataFrame:
-    return forecast.fourier(t.training)
+    return forecast.fourier(t.training, digits=DIGITS)
 
 
 @query
@@ -453,7 +476,9 @@ def forecast_store(t: Tables) -> DataFrame:
     """Two runs into one table: series end at different hours, so the runs share hours."""
     path = tables.work_folder(t.spark) + "/forecast"
     keys = ["forecast_date", "forecast_hour"]
-    before = forecast.seasonal(forecast.history(t.facts, DAY_BEFORE), DAY_BEFORE)
+    before = forecast.seasonal(
+        forecast.history(t.facts, DAY_BEFORE), DAY_BEFORE, digits=DIGITS
+    )
     tables.replace_partitions(before, path, keys)
     stored = tables.read_table(t.spark, path)
     merged = tables.materialise(forecast.add_to_store(stored, t.forecast))
@@ -640,7 +665,9 @@ def filter_options(t: Tables) -> DataFrame:
 @query
 def filter_options_fallback(t: Tables) -> DataFrame:
     """The day after the last measured one has forecasts but no measurements."""
-    ahead = forecast.seasonal(forecast.history(t.facts, AFTER_LAST), AFTER_LAST)
+    ahead = forecast.seasonal(
+        forecast.history(t.facts, AFTER_LAST), AFTER_LAST, digits=DIGITS
+    )
     return serving.filter_options(t.facts, ahead, AFTER_LAST)
 
 

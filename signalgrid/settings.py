@@ -18,7 +18,6 @@ class Thresholds:
     weak_rsrp: float = -110.0  # a weak sample, and a poor hour in the day trend
     hole_rsrp: float = -100.0  # below this an hour counts as bad
     good_rsrp: float = -90.0
-    alarm_rsrp: float = -120.0  # the "only worst areas" switch
     dense_users: int = 50
     critical_hours: int = 3  # bad hours in a row that make an area critical
     risk_drop_db: float = 10.0  # forecast minus its lower bound
@@ -27,7 +26,6 @@ class Thresholds:
     alert_horizon_hours: int = 12
     heatmap_days: int = 28
     gate_percent: float = 80.0
-    top_cells: int = 100
 
 
 # Limits a measurement must meet to be kept.
@@ -39,8 +37,8 @@ class Limits:
     rsrq: tuple[float, float] = (-20.0, -3.0)
     max_distance_km: float = 50.0
     sigmas: float = 3.0
-    # One millimetre: keeps the verdict free of the order in which a mean is summed.
-    tolerance_km: float = 1e-6
+    # Added to a cell's limit; a millimetre frees verdicts from the order a mean is summed in.
+    tolerance_km: float = 0.0
 
 
 # Label codes.

@@ -17,7 +17,8 @@ from signalgrid.operators.lookups import newest_per_key
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the shared one that ``spark.checkpoint.dir`` names.
+    """A fresh folder below the shared one that ``spark.checkpoint.dir`` names; it goes when
+    the driver ends.
 
     Only a local session may go without the setting; it gets a folder of this machine.
     """
@@ -26,7 +27,11 @@ def work_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/signalgrid-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/signalgrid-{uuid.uuid4().hex}"
+    place, files = file_system(spark, path)
+    files.mkdirs(place(path))
+    files.deleteOnExit(place(path))
+    return path
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -125,29 +125,27 @@ def repair(
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        flagged = late.flag_late(batch).persist()
-        try:
-            aside = flagged.where("is_late").drop("is_late")
-            replace_partitions(
-                aside.withColumn("ingest_batch", F.lit(number)), quarantine, ["ingest_batch"]
-            )
-            rows = flagged.drop("is_late")
-            whole = reduce(and_, (F.col(key).isNotNull() for key in late.MERGE_KEYS))
-            merged = lookups.newest_per_key(rows.where(whole), late.MERGE_KEYS, newest)
-            if table_exists(spark, silver):
-                stored = read_table(spark, silver, merge=True)
-                stored = late.in_partitions(stored, late.affected_partitions(rows))
-                if "ingest_batch" in stored.columns:
-                    stored = stored.where(~F.col("ingest_batch").eqNullSafe(F.lit(number)))
-                merged = upsert(stored, merged, late.MERGE_KEYS, newest)
-            loose = rows.where(~whole).withColumn("ingest_batch", F.lit(number))
-            # The merge reads the hours it replaces.
-            settled = materialise(align_union(merged, loose))
-            replace_partitions(settled, silver, EVENT_HOUR)
-            if on_merged is not None:
-                on_merged(settled)
-        finally:
-            flagged.unpersist()
+        # Written once: a batch may be read from its source several times otherwise.
+        flagged = materialise(late.flag_late(batch))
+        aside = flagged.where("is_late").drop("is_late")
+        replace_partitions(
+            aside.withColumn("ingest_batch", F.lit(number)), quarantine, ["ingest_batch"]
+        )
+        rows = flagged.drop("is_late")
+        whole = reduce(and_, (F.col(key).isNotNull() for key in late.MERGE_KEYS))
+        merged = lookups.newest_per_key(rows.where(whole), late.MERGE_KEYS, newest)
+        if table_exists(spark, silver):
+            stored = read_table(spark, silver, merge=True)
+            stored = late.in_partitions(stored, late.affected_partitions(rows))
+            if "ingest_batch" in stored.columns:
+                stored = stored.where(~F.col("ingest_batch").eqNullSafe(F.lit(number)))
+            merged = upsert(stored, merged, late.MERGE_KEYS, newest)
+        loose = rows.where(~whole).withColumn("ingest_batch", F.lit(number))
+        # The merge reads the hours it replaces.
+        settled = materialise(align_union(merged, loose))
+        replace_partitions(settled, silver, EVENT_HOUR)
+        if on_merged is not None:
+            on_merged(settled)
 
     return step
 

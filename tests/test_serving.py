@@ -282,6 +282,3 @@ def test_week_comparison(spark):
     assert [(r.health_status, r.last_week_health_status) for r in rows] == [
         ("good", "normal"), ("normal", None),
     ]
-    assert serving.last_measured(both).where(F.col("hex_id") == "a").first().last_time == (
-        dt.datetime(2024, 1, 24, 1)
-    )
