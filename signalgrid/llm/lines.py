@@ -50,18 +50,21 @@ def line_table(docs: DataFrame, id_column: str, site: str, text: str) -> DataFra
 
 def widespread(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
     """Keys of the lines that stand on at least ``min_sites`` distinct sites."""
-    frequent = lines.groupBy(*KEY).agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select(*KEY)
+    # A line's rows of one site become one before they are dealt out, so the rows of a line that
+    # is everywhere never meet.
+    pairs, _ = settle(lines.groupBy(*KEY, "site").agg(F.count("*").alias("n")))
+    frequent = pairs.groupBy(*KEY).agg(F.sum("n").alias("n")).where(F.col("n") >= min_sites).select(*KEY)
     estimates, _ = settle(
-        lines.join(frequent, KEY, "left_semi")
+        pairs.join(frequent, KEY, "left_semi")
         .groupBy(*KEY)
         .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("sites"))
     )
     sure = estimates.where(F.col("sites") > min_sites * (1 + margin)).select(*KEY)
     near = estimates.where(F.col("sites").between(min_sites * (1 - margin), min_sites * (1 + margin)))
     exact = (
-        lines.join(near.select(*KEY), KEY, "left_semi")
+        pairs.join(near.select(*KEY), KEY, "left_semi")
         .groupBy(*KEY)
-        .agg(F.count_distinct("site").alias("sites"))
+        .agg(F.count("*").alias("sites"))
         .where(F.col("sites") >= min_sites)
         .select(*KEY)
     )
