@@ -9,8 +9,8 @@ Candidates meet in cells: the first ``AXES`` projections are cut into stretches,
 goes to neighbouring cells it is within ``HALO`` of. In its own cell, a vector is a query: the
 cell's candidates are sorted by one projection, and those in the query's window are counted on
 all others. Cells with many vectors are dealt out in pairs of blocks, so no task holds more than
-two blocks. A halo of 3.25 standard deviations of a pair at the threshold on three axes keeps
-99.6 % of such pairs; closer pairs are all but sure.
+two blocks. A halo of four standard deviations of a pair at the threshold on three axes keeps
+99.98 % of such pairs; closer pairs are all but sure.
 
 Equal vectors of a label are one class with a size. Vectors that are null, zero or hold null or
 non-finite components, and those without a label, link with nothing; vectors of different
@@ -33,10 +33,10 @@ from signalgrid.llm.work import settle
 COSINE = 0.98
 PROJECTIONS = 16
 WINDOW = 0.5
-RECALL = 0.9999
+RECALL = 0.99999
 AXES = 3
 STRETCH = 2.0
-HALO = 0.65
+HALO = 0.8
 BLOCK = 2048
 SEED = 11
 
