@@ -7,10 +7,11 @@ reach it are verified by their cosine in double precision.
 
 Candidates meet in cells: the first ``AXES`` projections are cut into stretches, and a vector also
 goes to neighbouring cells it is within ``HALO`` of. In its own cell, a vector is a query: the
-cell's candidates are sorted by one projection, and those in the query's window are counted on
-all others. Cells with many vectors are dealt out in pairs of blocks, so no task holds more than
-two blocks. A halo of four standard deviations of a pair at the threshold on three axes keeps
-99.98 % of such pairs; closer pairs are all but sure.
+cell's candidates are sorted by one projection; for those within ``HALO`` of the query on it,
+collisions in the query's windows are counted over all projections. Cells with many vectors are
+dealt out in pairs of blocks, so no task holds more than two blocks. A halo of four standard
+deviations of a pair at the threshold, on three axes and the sorted one, keeps 99.97 % of such
+pairs; closer pairs are all but sure.
 
 Equal vectors of a label are one class with a size. Vectors that are null, zero or hold null or
 non-finite components, and those without a label, link with nothing; vectors of different
@@ -61,7 +62,11 @@ def _unit(column: pa.Array, size: int) -> np.ndarray:
 
 
 def _directions(size: int, count: int) -> np.ndarray:
-    return np.random.default_rng([SEED, size]).normal(size=(size, count))
+    """Random directions of length ``sqrt(size)``, at right angles as far as there are that
+    many; a unit vector's projections then have variance one."""
+    made = np.random.default_rng([SEED, size]).normal(size=(size, count))
+    made[:, :size] = np.linalg.qr(made[:, :size])[0]
+    return made / np.sqrt((made * made).sum(axis=0)) * sqrt(size)
 
 
 def _cells(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -113,7 +118,7 @@ def _compare(table: pa.Table, cosine: float, need: int) -> pa.Table:
     members = table.column("members").to_numpy()
     asks = np.flatnonzero(table.column("asks").to_numpy(zero_copy_only=False))
     answers = np.flatnonzero(table.column("answers").to_numpy(zero_copy_only=False))
-    # The last projection orders both sides; its windows are ranges.
+    # The last projection orders both sides; what is farther than a halo on it is no candidate.
     asks = asks[np.argsort(place[asks, -1], kind="stable")]
     answers = answers[np.argsort(place[answers, -1], kind="stable")]
     line = place[answers, -1]
@@ -121,8 +126,8 @@ def _compare(table: pa.Table, cosine: float, need: int) -> pa.Table:
     left, right = [], []
     for begin in range(0, len(asks), 256):
         part = asks[begin : begin + 256]
-        low = np.searchsorted(line, place[part[0], -1] - WINDOW, side="left")
-        high = np.searchsorted(line, place[part[-1], -1] + WINDOW, side="right")
+        low = np.searchsorted(line, place[part[0], -1] - HALO, side="left")
+        high = np.searchsorted(line, place[part[-1], -1] + HALO, side="right")
         near = answers[low:high]
         hits = np.zeros((len(part), len(near)), np.int8)
         for axis in range(PROJECTIONS):
