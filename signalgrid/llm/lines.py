@@ -6,10 +6,11 @@ lines with that many occurrences can have that many sites, so only those get a s
 whose estimate is within ``MARGIN`` of the threshold are counted exactly. Only DataFrame
 functions run here.
 
-Blank lines count for nothing and stay. A document of which boilerplate would be over
-``MAX_SHARE`` is itself what was copied around, not a page with boilerplate about its text: it
-stays whole, for a near-duplicate search to judge. Null texts stay null. Rows without a site
-share one unnamed site. Rows of one id are told apart by their text.
+Blank lines count for nothing and stay. Boilerplate lines go from every document, whatever their
+share of it; one that has no other lines is left with an empty text. Only a text that itself stands,
+equal as a whole, on ``MIN_SITES`` sites is a copy: its own copies alone spread all its lines, so it
+stays whole for a near-duplicate search to judge. Null texts stay null. Rows without a site share
+one unnamed site. Rows of one id are told apart by their text.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ MIN_SITES = 10
 #: standard error is 1.6 %.
 MARGIN = 0.2
 LOG_K = 12
-MAX_SHARE = 0.5
 
 BLANKS = " \t\r"
 KEY = ["first", "second"]
@@ -71,21 +71,27 @@ def widespread(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MAR
     return sure.union(exact)
 
 
+def copied(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """Marks of the texts that stand as a whole on at least ``min_sites`` distinct sites."""
+    return lines.select("mark", "site").distinct().groupBy("mark").count().where(F.col("count") >= min_sites).select("mark")
+
+
 def drop_boilerplate(
     docs: DataFrame,
     id_column: str = "doc_id",
     site: str = "source",
     text: str = "text",
     min_sites: int = MIN_SITES,
-    max_share: float = MAX_SHARE,
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and ``lines_removed`` added.
 
     Every row stays, with its columns; other columns may have any name but ``lines_removed``.
     """
     lines, _ = settle(line_table(docs, id_column, site, text))
+    copies, _ = settle(copied(lines, min_sites))
     places = (
         lines.join(widespread(lines, min_sites), KEY, "left_semi")
+        .join(copies, "mark", "left_anti")
         .groupBy(F.col(id_column).alias("hit_id"), F.col("mark").alias("hit_mark"))
         .agg(F.collect_set("place").alias("hit_places"))
     )
@@ -99,12 +105,11 @@ def drop_boilerplate(
     return (
         joined.withColumn("lines", F.when(F.col("hit_places").isNotNull(), _lines(old)))
         .withColumn("kept", kept)
-        .withColumn("shrunk", F.coalesce(F.length("kept") >= F.length(old) * (1 - max_share), F.lit(False)))
         .select(
             *(
-                (F.when(F.col("shrunk"), F.col("kept")).otherwise(old) if name == text else F.col("doc")[name]).alias(name)
+                (F.coalesce("kept", old) if name == text else F.col("doc")[name]).alias(name)
                 for name in docs.columns
             ),
-            F.when(F.col("shrunk"), F.size("hit_places")).otherwise(0).cast("long").alias("lines_removed"),
+            F.when(F.col("hit_places").isNotNull(), F.size("hit_places")).otherwise(0).cast("long").alias("lines_removed"),
         )
     )
