@@ -1,8 +1,9 @@
 """Main text of web pages by tag-path ratios.
 
 A page is cut into blocks (text between block-level tags). Blocks below menus, headers, footers,
-sidebars, notices, adverts, forms, comments and the like (by tag, role, class or id) are out. For
-each root-to-leaf tag path of the rest, text length per block and punctuation per block are
+sidebars, notices, adverts, forms, comments and the like (by tag, role, or a whole word of class or
+id) are out, and so is what is hidden; never an html, body, main or article element, nor an element
+around the page's only article or most of its text (``_spared``), unless its tag says so. For each root-to-leaf tag path of the rest, text length per block and punctuation per block are
 aggregated; both ratios are smoothed over the page in block order and fused, and paths whose
 greatest fused ratio reaches the threshold are content. The least element around the content
 blocks (an article or main element around them if there is one) is the article: all its blocks
@@ -52,6 +53,16 @@ OUT_WORDS = frozenset(
     " related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 HEAD_WORDS = frozenset("header masthead topbar".split())
+#: Parts that may stand beside such a word in one name (site-footer); any other part is of a state or layout.
+PLAIN_WORDS = frozenset(
+    "area bar block bottom box buttons container global inner left links list main page post posts primary right"
+    " secondary section site slot top unit wrap wrapper".split()
+)
+#: Tags whose elements may still be around the whole text; of the other out tags none is.
+AROUND_TAGS = frozenset("dialog form header".split())
+WHOLE = frozenset("html body main article".split())
+#: Of the text outside links: over this share is most of it, and what an element in an article must have over.
+MOST, MOST_OF_ARTICLE = 0.5, 0.75
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 _TOKEN = re.compile(
@@ -59,38 +70,86 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_WORD = re.compile(r"[a-z0-9]+")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_PART = re.compile(r"[-_]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "parent", "out", "article", "depth")
+    __slots__ = ("tag", "path", "parent", "out", "article", "depth", "mark", "fixed")
 
     def __init__(self, tag: str, path: int, parent: _Element | None, out: bool, article: bool):
         self.tag, self.path, self.parent, self.out, self.article = tag, path, parent, out, article
         self.depth = parent.depth + 1 if parent else 0
+        #: The nearest mark it is under, and whether it is under an element that its tag puts out.
+        self.mark: _Mark | None = parent and parent.mark
+        self.fixed: bool = bool(parent and parent.fixed)
+
+
+class _Mark:
+    """An element that is out by a name or a form around it, and what it holds."""
+
+    __slots__ = ("place", "in_article", "above", "size", "articles")
+
+    def __init__(self, place: int, in_article: bool, above: _Mark | None):
+        self.place, self.in_article, self.above, self.size, self.articles = place, in_article, above, 0, 0
+
+
+def _names(value: str, words: frozenset[str]) -> bool:
+    """Whether a whole word of ``value`` is one of ``words``, alone or beside plain parts."""
+    for word in value.split():
+        if word in words:
+            return True
+        parts = [part for part in _PART.split(word) if part and not part.isdigit()]
+        if not words.isdisjoint(parts) and all(part in words or part in PLAIN_WORDS for part in parts):
+            return True
+    return False
 
 
 def _is_out(tag: str, attributes: str, article: bool) -> bool:
     """Whether an element and all below it is no part of an article."""
+    if tag in WHOLE:
+        return False
     if tag in OUT_TAGS or (tag == "header" and not article):
         return True
+    words = OUT_WORDS if article else OUT_WORDS | HEAD_WORDS
     for match in _ATTRIBUTE.finditer(attributes):
         name = match[1].lower()
-        value = (match[2] or match[3] or match[4] or "").lower()
-        if name == "hidden" or (name == "role" and value in OUT_ROLES):
+        value = (match[2] or match[3] or match[4] or "").strip().lower()
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in OUT_ROLES):
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name in ("class", "id"):
-            words = set(_WORD.findall(value))
-            if words & OUT_WORDS or (not article and words & HEAD_WORDS):
-                return True
+        if name in ("class", "id") and _names(value, words):
+            return True
     return False
 
 
+def _spared(marks: list[_Mark], total: int, standing: int) -> set[int]:
+    """Places of the marked elements that are around the article of a page.
+
+    ``total`` is the size of the text, ``standing`` of that in main or article elements that are not
+    out. If there is some, a marked element around other articles has comments or teasers.
+    """
+    if standing:
+        return {mark.place for mark in marks if mark.in_article and mark.size > MOST_OF_ARTICLE * total}
+    return {mark.place for mark in marks if mark.articles == 1 or mark.size > MOST * total}
+
+
 def blocks_of(page: str) -> list[tuple[str, _Element, int]]:
     """(text, element, characters in links) of the blocks that are not out, in page order."""
+    found, marks, total, standing = _parse(page, frozenset())
+    if marks and (spared := _spared(marks, total, standing)):
+        found = _parse(page, spared)[0]
+    if marks and total and not found:
+        found = _parse(page, {mark.place for mark in marks})[0]
+    return found
+
+
+def _parse(page: str, spared: Iterable[int]) -> tuple[list[tuple[str, _Element, int]], list[_Mark], int, int]:
+    """Blocks that are not out if elements at the places ``spared`` are not, the marked elements, and
+    the sizes of the text outside links: all of it, and that in main or article elements not out."""
+    marks: list[_Mark] = []
+    place = total = standing = 0
     paths: dict[tuple[int, str], int] = {}
     element = _Element("", 0, None, False, False)
     found: list[tuple[str, _Element, int]] = []
@@ -115,6 +174,16 @@ def blocks_of(page: str) -> list[tuple[str, _Element, int]]:
             if links:
                 linked += len(text.strip())
 
+    def measure(text: str) -> None:
+        nonlocal total, standing
+        if element.fixed or links or not (size := len(text.strip())):
+            return
+        total += size
+        if element.article and not element.out:
+            standing += size
+        if element.mark:
+            element.mark.size += size
+
     def pop_to(target: _Element) -> None:
         nonlocal element, links, holder
         while element is not target:
@@ -126,6 +195,7 @@ def blocks_of(page: str) -> list[tuple[str, _Element, int]]:
             holder = holder.parent
 
     while match := _TOKEN.search(page, at):
+        measure(page[at : match.start()])
         if not element.out:
             add(page[at : match.start()])
         at = match.end()
@@ -165,18 +235,32 @@ def blocks_of(page: str) -> list[tuple[str, _Element, int]]:
                 pop_to(open_.parent)
         if tag in VOID or match[3].endswith("/") and tag not in BLOCK:
             continue
+        place += 1
         article = element.article or tag in ("article", "main")
-        out = element.out or _is_out(tag, match[3], element.article)
+        own = _is_out(tag, match[3], element.article)
+        if article and not element.article and element.mark and not element.fixed:
+            element.mark.articles += 1
+        out = element.out or (own and place not in spared)
         path = paths.setdefault((element.path, tag), len(paths) + 1)
         element = _Element(tag, path, element, out, article)
+        if own and tag in OUT_TAGS and tag not in AROUND_TAGS:
+            element.fixed = True
+        elif own and not element.fixed:
+            element.mark = _Mark(place, article, element.mark)
+            marks.append(element.mark)
         if tag == "a":
             links += 1
         if tag in BLOCK:
             holder = element
+    measure(page[at:])
     if not element.out:
         add(page[at:])
     close_block()
-    return found
+    for mark in reversed(marks):
+        if mark.above:
+            mark.above.size += mark.size
+            mark.above.articles += mark.articles
+    return found, marks, total, standing
 
 
 def _fused(found: list[tuple[str, _Element, int]]) -> np.ndarray:

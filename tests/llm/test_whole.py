@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import messy
+import pytest
 
-from signalgrid.llm import lines
+from signalgrid.llm import html_text, lines
 
 
 def test_boilerplate_goes_whatever_its_share_of_a_text(spark):
@@ -19,3 +20,30 @@ def test_boilerplate_goes_whatever_its_share_of_a_text(spark):
     want |= {100 + i: ("a page copied around\nas a whole", 0) for i in range(12)}
     assert found == want | {200: ("but quoted", 1), 201: (None, 0)}
     assert lines.drop_boilerplate(messy.nothing(spark)).isEmpty()
+
+
+BODY = "<p>" + "</p><p>".join(f"Paragraph {i} has words, and a second clause; it ends here." for i in range(6)) + "</p>"
+TEXT = BODY.replace("</p><p>", "\n").removeprefix("<p>").removesuffix("</p>")
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body class="has-sidebar">{BODY}</body>',
+        f'<body class="sidebar">{BODY}</body>',
+        f'<main class="content no-sidebar">{BODY}</main>',
+        f'<article class="post comments-open">{BODY}</article>',
+        f'<div class="widget">{BODY}</div><p>x</p>',
+        f'<div class="widget"><article>{BODY}</article></div>',
+        f'<form action="/"><div>{BODY}</div><select><option>a</select></form>',
+        f"<form><main>{BODY}</main></form>",
+        f'<main><form><div>{BODY}</div></form></main>',
+        f'<div aria-hidden="false">{BODY}</div>',
+        f'<div data-visibility="hidden" title="hidden gems" data-class="ad">{BODY}</div>',
+        f'<article>{BODY}<p hidden>x</p><p aria-hidden="true">y</p><p style="display: none">z</p></article>',
+        f'<article>{BODY}</article><div class="site-footer">f</div><div class="ad-slot-2 big">g</div>',
+        f'<article>{BODY}</article><div class="comments"><article>{BODY}</article><article>{BODY}</article></div>',
+    ],
+)
+def test_names_put_out_parts_of_a_page_and_not_the_page(page):
+    assert html_text.main_text(page) in (TEXT, TEXT + "\nx")
