@@ -7,7 +7,9 @@ around the page's only article or most of its text (``_spared``), unless its tag
 aggregated; both ratios are smoothed over the page in block order and fused, and paths whose
 greatest fused ratio reaches the threshold are content. The least element around the content
 blocks (an article or main element around them if there is one) is the article: all its blocks
-stay, short ones too, except paths that are mostly links.
+stay, short ones and lists of links too. Without article or main, headings and text that border on
+that element stay as well. Paths that are mostly links are not content and end that border; if the
+article is the whole body, they go where they stand before or after all content.
 
 Null and empty pages give an empty text, and so do pages without such blocks. Markup may be broken:
 end tags without a start are skipped, open elements end with their parent, an open comment or
@@ -63,6 +65,7 @@ AROUND_TAGS = frozenset("dialog form header".split())
 WHOLE = frozenset("html body main article".split())
 #: Of the text outside links: over this share is most of it, and what an element in an article must have over.
 MOST, MOST_OF_ARTICLE = 0.5, 0.75
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 _TOKEN = re.compile(
@@ -273,6 +276,12 @@ def _fused(found: list[tuple[str, _Element, int]]) -> np.ndarray:
     return smooth[0] * (1 + smooth[1])
 
 
+def _in_heading(element: _Element) -> bool:
+    while element.parent and element.tag not in HEADINGS:
+        element = element.parent
+    return element.tag in HEADINGS
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks, one per line."""
     found = blocks_of(page or "")
@@ -284,13 +293,15 @@ def main_text(page: str | None) -> str:
         total[0] += len(text)
         total[1] += linked
     listed = {path for path, (size, linked) in totals.items() if linked > LINK_SHARE * size}
-    found = [block for block in found if block[1].path not in listed] or found
-    fused = _fused(found)
+    texts = [block for block in found if block[1].path not in listed]
+    if not texts:
+        texts, listed = found, set()
+    fused = _fused(texts)
     best: dict[int, float] = {}
-    for (_, element, _), value in zip(found, fused.tolist()):
+    for (_, element, _), value in zip(texts, fused.tolist()):
         best[element.path] = max(best.get(element.path, 0.0), value)
     least = THRESHOLD * max(best.values())
-    content = [element for _, element, _ in found if best[element.path] >= least]
+    content = [element for _, element, _ in texts if best[element.path] >= least]
     # The least element that holds them all, or the article around it.
     around = content[0]
     if not around.parent or all(element is around for element in content):
@@ -308,12 +319,30 @@ def main_text(page: str | None) -> str:
     if article.article:
         around = article
 
-    def inside(element: _Element) -> bool:
+    def inside(element: _Element, around: _Element) -> bool:
         while element.depth > around.depth:
             element = element.parent
         return element is around
 
-    return "\n".join(text for text, element, _ in found if inside(element))
+    places = [i for i, (_, element, _) in enumerate(found) if inside(element, around)]
+    first, last = places[0], places[-1]
+    if around.tag in ("", "html", "body"):
+        # The page itself: what is listed before or after its content is no part of the article.
+        own = [i for i in places if (path := found[i][1].path) not in listed and best[path] >= least]
+        places = [i for i in places if own[0] <= i <= own[-1] or found[i][1].path not in listed]
+    elif not article.article:
+        beside = around.parent
+
+        def borders(i: int) -> bool:
+            element = found[i][1]
+            return element.path not in listed and (_in_heading(element) or inside(element, beside))
+
+        while first and borders(first - 1):
+            first -= 1
+        while last + 1 < len(found) and borders(last + 1):
+            last += 1
+        places = [*range(first, places[0]), *places, *range(places[-1] + 1, last + 1)]
+    return "\n".join(found[i][0] for i in places)
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

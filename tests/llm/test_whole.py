@@ -47,3 +47,26 @@ TEXT = BODY.replace("</p><p>", "\n").removeprefix("<p>").removesuffix("</p>")
 )
 def test_names_put_out_parts_of_a_page_and_not_the_page(page):
     assert html_text.main_text(page) in (TEXT, TEXT + "\nx")
+
+
+LONG = "<p>" + "</p><p>".join(["A sentence, and more; so on: words. " * 11 + str(i) for i in range(3)]) + "</p>"
+PLAIN = LONG.replace(" </p><p>", "\n").replace("</p><p>", "\n").removeprefix("<p>").removesuffix("</p>")
+MENU = "<ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul>"
+SOURCES = "<h2>Sources</h2><ul><li><a href=c>A source</a></li><li><a href=d>Another source</a></li></ul>"
+LISTED = "Sources\nA source\nAnother source"
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"{MENU}<article>{LONG}{SOURCES}</article>{MENU}", f"{PLAIN}\n{LISTED}"),
+        (f"{MENU}<div class=post>{LONG}{SOURCES}</div>{MENU}", f"{PLAIN}\n{LISTED}"),
+        (f"<body>{MENU}{LONG}{SOURCES}<p>Then an end, with text.</p>{MENU}", f"{PLAIN}\n{LISTED}\nThen an end, with text."),
+        (f"<body>{MENU}<h1>A headline of thirty letters xx</h1><div id=b>{LONG}</div>{MENU}", f"A headline of thirty letters xx\n{PLAIN}"),
+        (f"<body>{MENU}<div><h1>A headline</h1><p>Lead</p></div><div id=b>{LONG}</div><div>End</div>{MENU}<p>c", f"A headline\nLead\n{PLAIN}\nEnd\nc"),
+        (f"<div><div><h1>A headline</h1></div></div><section><div id=b>{LONG}</div></section>", f"A headline\n{PLAIN}"),
+        (f"<p>x</p><nav>m</nav><article>{LONG}</article>", PLAIN),
+    ],
+)
+def test_blocks_of_the_article_and_at_its_border_stay(page, want):
+    assert html_text.main_text(page) == want
