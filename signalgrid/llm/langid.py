@@ -150,20 +150,22 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> Network | N
     """Learn from the rows of ``docs`` that have a label; None if there are none.
 
     Which texts of a label are taken is decided by a hash of the text, and where the piece
-    starts in a longer text as well.
+    starts in a longer text as well. Rows of one label and text are one.
     """
     own = F.col(label).cast("string").alias("own_label")
     labelled = docs.where(F.col(label).isNotNull() & (F.length(text) > 0))
-    # One row per label, as many as the network has answers.
-    counts = labelled.groupBy(own).count()
+    hashed = labelled.select(own, F.xxhash64(text).alias("by"), F.col(text).alias("own_text"))
+    # One row per label, as many as the network has answers; copies of a text are one.
+    counts = hashed.select("own_label", "by").distinct().groupBy("own_label").count()
     begin = F.lit(1) + F.pmod("by", F.greatest(F.lit(1), F.length("own_text") - SAMPLE_CHARS)).cast("int")
     order = Window.partitionBy("own_label").orderBy("by", "piece")
     rows = (
-        labelled.select(own, F.col(text).alias("own_text"), F.xxhash64(text).alias("by"))
-        .join(F.broadcast(counts), "own_label")
+        hashed.join(F.broadcast(counts), "own_label")
         # About four times as many as wanted, before they meet in one task per label.
         .where(F.pmod("by", F.lit(1 << 30)) <= F.lit(4.0 * SAMPLE_TEXTS * (1 << 30)) / F.col("count"))
         .select("own_label", "by", F.substring("own_text", begin, F.lit(SAMPLE_CHARS)).alias("piece"))
+        .groupBy("own_label", "by")
+        .agg(F.min("piece").alias("piece"))
         .withColumn("number", F.row_number().over(order))
         .where(F.col("number") <= SAMPLE_TEXTS)
         .orderBy("own_label", "number")

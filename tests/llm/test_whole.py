@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import messy
 import pytest
+from pyspark.sql import functions as F
 
-from signalgrid.llm import html_text, lines
+from signalgrid.llm import html_text, langid, lines
 
 
 def test_boilerplate_goes_whatever_its_share_of_a_text(spark):
@@ -70,3 +71,19 @@ LISTED = "Sources\nA source\nAnother source"
 )
 def test_blocks_of_the_article_and_at_its_border_stay(page, want):
     assert html_text.main_text(page) == want
+
+
+def test_labels_of_few_texts_in_many_copies_are_learned(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(langid, "train", lambda windows, target, labels: seen.update(windows=len(windows), labels=labels))
+    by = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    words = spark.range(4000).select(F.format_string("oui eau %d", "id").alias("text"))
+    # Texts that a rate by rows would leave out, one that it would take, in copies.
+    few = words.where(by > (1 << 29)).limit(3).withColumn("lang", F.lit("few"))
+    one = words.where(by < (1 << 24)).limit(1).withColumn("lang", F.lit("one"))
+    copies = few.union(one).crossJoin(spark.range(4000).select()).repartition(8)
+    copies = copies.union(words.limit(20).withColumn("lang", F.lit("one")))
+    langid.fit(copies)
+    assert seen["labels"] == ["few", "one"]
+    distinct = copies.distinct().count()
+    assert 23 <= distinct == seen["windows"]
