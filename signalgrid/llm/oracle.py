@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from signalgrid.llm.licenses import BASE, MORE, parse
+
 LINES = """
 WITH l AS (
   SELECT doc_id, COALESCE(source, '') AS site, i,
@@ -158,10 +160,137 @@ SELECT d.doc_id, CAST(COALESCE(n_words, 0) AS BIGINT) AS n_words, CAST(COALESCE(
 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
+CODES_BEGIN = """
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), p AS MATERIALIZED (
+  SELECT vec_id, part, v[part * (len(v) // 4) + 1:(part + 1) * (len(v) // 4)] AS v FROM k, (SELECT unnest(range(4)) AS part)
+), b0 AS MATERIALIZED (
+  SELECT part, entry, v FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM p) WHERE entry < 256
+)
+"""
+CODES_ASSIGN = """, a{now} AS MATERIALIZED (
+  SELECT vec_id, part, MIN(ROW(gap, entry)) AS best FROM (
+    SELECT p.vec_id, p.part, b.entry,
+      list_dot_product(p.v, p.v) - 2 * list_dot_product(p.v, b.v) + list_dot_product(b.v, b.v) AS gap
+    FROM p JOIN b{before} b ON b.part = p.part)
+  GROUP BY vec_id, part
+)"""
+CODES_MOVE = """, b{now} AS MATERIALIZED (
+  SELECT b.part, b.entry, COALESCE(m.v, b.v) AS v FROM b{before} b LEFT JOIN (
+    SELECT part, entry, list(mean ORDER BY place) AS v FROM (
+      SELECT part, entry, place, floor(SUM(x) / COUNT(*)) AS mean FROM (
+        SELECT p.part, a.best[2] AS entry, unnest(range(len(p.v))) AS place, unnest(p.v) AS x
+        FROM p JOIN a{now} a ON a.vec_id = p.vec_id AND a.part = p.part)
+      GROUP BY part, entry, place)
+    GROUP BY part, entry) m ON m.part = b.part AND m.entry = b.entry
+)"""
+CODES_END = """, coded AS (
+  SELECT vec_id, string_agg(format('{:02x}', CAST(best[2] AS INTEGER)), '' ORDER BY part) AS code,
+    CAST(SUM(best[1]) AS BIGINT) AS error FROM a5 GROUP BY vec_id
+), books AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, place)) AS digest
+  FROM (SELECT part, entry, unnest(range(len(v))) AS place, unnest(v) AS x FROM b4)
+)
+SELECT k.vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM k JOIN coded ON coded.vec_id = k.vec_id, books
+"""
+CODES = (
+    CODES_BEGIN
+    + "".join((CODES_ASSIGN + CODES_MOVE).format(now=i, before=i - 1) for i in range(1, 5))
+    + CODES_ASSIGN.format(now=5, before=4)
+    + CODES_END
+)
+
+
+def license_pattern(items: list) -> str:
+    """A template as a regular expression over words that each end in a blank."""
+    parts = []
+    for item in items:
+        if isinstance(item, str):
+            parts.append(f"{item} ")
+        elif isinstance(item, tuple):
+            parts.append(f"(?:[^ ]+ ){{{item[0]},{item[1]}}}")
+        else:
+            parts.append(f"(?:{license_pattern(item)})?")
+    return "".join(parts)
+
+
+LICENSE_RULES = ",\n    ".join(
+    f"({rank}, '{label}', {'TRUE' if rank < len(BASE) else 'FALSE'}, '{parse(markup)[0]}', '^{license_pattern(parse(markup))}')"
+    for rank, (label, markup) in enumerate([*BASE, *MORE])
+)
+LICENSES = (
+    r"""
+WITH rules(rank, label, base, first, pattern) AS (
+  VALUES """
+    + LICENSE_RULES
+    + r"""
+), d AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), starts AS (
+  SELECT doc_id, w, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d) WHERE w[i] IN (SELECT first FROM rules)
+), matched AS (
+  SELECT doc_id, i, label, base, regexp_extract(array_to_string(w[i:i + 499], ' ') || ' ', pattern) AS words
+  FROM starts JOIN rules ON w[i] = first
+), places AS (
+  SELECT doc_id, i - 1 AS i, label, base, length(words) - length(replace(words, ' ', '')) AS n FROM matched WHERE words <> ''
+), covered AS (
+  SELECT doc_id, COUNT(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM places) GROUP BY doc_id
+), told AS (
+  SELECT doc_id, COUNT(*) FILTER (WHERE base) AS n_base, MIN(i) FILTER (WHERE base) AS first_word, MAX(i) FILTER (WHERE base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
+  COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels, COALESCE(covered.n / len(w), 0) AS score
+FROM d LEFT JOIN told ON told.doc_id = d.doc_id LEFT JOIN covered ON covered.doc_id = d.doc_id
+"""
+)
+
+COLLOCATIONS = r"""
+WITH d AS (
+  SELECT COALESCE(lang, 'und') AS lang, regexp_split_to_array(translate(COALESCE(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)
+), f AS MATERIALIZED (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, COUNT(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest(range(1, 5)) AS k) WHERE len(w) >= k)
+  GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(SUM(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.a, j, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.k = j AND x.phrase = array_to_string(w[:j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - j AND y.phrase = array_to_string(w[j + 1:], ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_phrases AS (
+  SELECT lang, a AS f, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, a, w, k, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c))
+), dropped AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN inner_phrases x ON x.lang = c.lang AND x.phrase = c.phrase
+  WHERE CAST(100 AS HUGEINT) * x.f >= CAST(80 AS HUGEINT) * c.a
+), ranked AS (
+  SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest ANTI JOIN dropped ON dropped.lang = lowest.lang AND dropped.phrase = lowest.phrase
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
+
 STATEMENTS: dict[str, str] = {
     "op1_decontaminate": DECONTAMINATE,
     "op4_urls": URLS,
     "op5_vectors": VECTORS,
     "op6_substrings": SUBSTRINGS,
     "op9_lines": LINES,
+    "op11_vector_codes": CODES,
+    "op12_licenses": LICENSES,
+    "op13_collocations": COLLOCATIONS,
 }

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from signalgrid.llm import (
+    collocations,
     decontaminate,
     html_text,
     langid,
+    licenses,
     lines,
     secrets,
     sentencepiece,
     simhash,
     substrings,
     urls,
+    vector_codes,
     vectors,
 )
 
@@ -106,6 +109,32 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", "held_out"), network).drop("text")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.withColumn("codebooks_sha256", F.lit(vector_codes.books_digest(books)))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["label"].isin([label for label, _ in licenses.BASE]))
+    listed = lambda places: F.array_join(F.array_sort(F.array_distinct(places["label"])), ",")
+    return found.withColumn("base", base).select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.col("base")["start"]).alias("first_word"),
+        F.array_max(F.col("base")["start"]).alias("last_word"),
+        listed(F.col("base")).alias("base_labels"),
+        listed(F.col("places")).alias("labels"),
+        F.coalesce(F.try_divide("n_covered", "n_words"), F.lit(0.0)).alias("score"),
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.best(collocations.collocations(table(spark, sf_dir, "documents")))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
@@ -117,4 +146,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_lines": op9_lines,
     "op10_langid": op10_langid,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_licenses": op12_licenses,
+    "op13_collocations": op13_collocations,
 }
