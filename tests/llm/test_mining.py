@@ -241,6 +241,7 @@ def test_collocations_equal_brute_force(spark, monkeypatch, run, least):
 @pytest.mark.parametrize("few", [0, 200_000])
 def test_collocations_by_either_join_and_the_first_few(spark, monkeypatch, few):
     monkeypatch.setattr(collocations, "FEW_PHRASES", few)
+    monkeypatch.setattr(collocations, "KNOWN_WORDS", few)
     rows = _mined_rows()
     docs = spark.createDataFrame(rows, "lang string, text string")
     found = collocations.best(collocations.collocations(docs, least=4), 7).collect()
