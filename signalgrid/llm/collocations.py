@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from signalgrid.llm.arrays import U64, mix, pieces, text_bytes, word_spans
-from signalgrid.llm.work import settle
+from signalgrid.llm.work import drop_folder, settle
 
 LONGEST = 4
 LEAST = 30
@@ -56,7 +56,7 @@ RUNS = "n int, gaps binary, high binary, low binary"
 MOST_WORDS = 4
 _WORD = np.int64((1 << 32) - 1)
 #: Rows that a task gathers before it sums them up.
-GATHER = 1 << 18
+GATHER = 1 << 21
 #: Bits of the bitmap for each frequent phrase, and at most.
 BITS_EACH, MOST_BITS = 16, 1 << 27
 #: Bits in a row of Spark's bitmap functions.
@@ -283,7 +283,7 @@ def phrase_counts(
     if not 1 <= longest <= MOST_WORDS:
         raise ValueError(f"phrases have 1 to {MOST_WORDS} words")
     # Numbered as written: read again, a run has the number it had.
-    first, _ = settle(_word_runs(docs, lang, text).withColumn("run", F.monotonically_increasing_id()))
+    first, folder = settle(_word_runs(docs, lang, text).withColumn("run", F.monotonically_increasing_id()))
     sizes = first.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
     sizes, _ = settle(sizes.groupBy("lang").agg(F.sum("n").alias("n")))
     each = first.select("run", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "of")).select(
@@ -291,7 +291,9 @@ def phrase_counts(
     )
     words, _ = settle(_with_numbers(each.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)))
     few = words.count() <= FEW_PHRASES
-    runs, _ = settle(_numbered_runs(first, words, each))
+    runs, newer = settle(_numbered_runs(first, words, each))
+    drop_folder(docs.sparkSession, folder)
+    folder = newer
     result = words.select("lang", "phrase", F.lit(1).alias("words"), "f")
     for size in range(2, longest + 1):
         # Dealt out as they come: each task has summed up its own, which Spark would try once more.
@@ -299,7 +301,10 @@ def phrase_counts(
         frequent, _ = settle(counts.groupBy("high", "low").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
         result = result.unionByName(_spelt(frequent, words, size, few))
         if size < longest:
-            runs, _ = settle(_next_runs(runs, _bitmap(frequent, frequent.count())))
+            runs, newer = settle(_next_runs(runs, _bitmap(frequent, frequent.count())))
+        # All that was made of the runs before is written.
+        drop_folder(docs.sparkSession, folder)
+        folder = newer
     return result, sizes
 
 

@@ -1,16 +1,17 @@
 """Removal of boilerplate lines by the number of distinct sites they spread over.
 
-A line (without blanks at its ends) that stands on at least ``MIN_SITES`` sites is boilerplate.
-The spread of each line hash is a HyperLogLog sketch of its sites, merged by aggregation; only
-lines with that many occurrences can have that many sites, so only those get a sketch. Lines
-whose estimate is within ``MARGIN`` of the threshold are counted exactly. Only DataFrame
-functions run here.
-
-Blank lines count for nothing and stay. Boilerplate lines go from every document, whatever their
-share of it; one that has no other lines is left with an empty text. Only a text that itself stands,
-equal as a whole, on ``MIN_SITES`` sites is a copy: its own copies alone spread all its lines, so it
-stays whole for a near-duplicate search to judge. Null texts stay null. Rows without a site share
-one unnamed site. Rows of one id are told apart by their text.
+A line (without blanks at its ends) that stands on at least ``MIN_SITES`` sites is boilerplate and
+goes from every document, whatever its share of it. A text that stands, equal as a whole, on several
+sites counts as one text of the least of them (in byte order), so copying a document spreads none
+of its lines. A document that has no other lines is left with an empty text.
+
+The spread of a line is a HyperLogLog sketch of its sites, built over the lines themselves and
+merged by aggregation, so the rows of a line that is everywhere never meet. Only lines that stand
+``MIN_SITES`` times can have that many sites, so only those get a sketch. Lines whose estimate is
+within ``MARGIN`` of the threshold are counted exactly. Only DataFrame functions run here.
+
+Blank lines count for nothing and stay. Null texts stay null. Rows without a site share one unnamed
+site. Rows of one id are told apart by their text.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ LOG_K = 12
 
 BLANKS = " \t\r"
 KEY = ["first", "second"]
+#: Rows of keys that are sent to every task; more are joined by a shuffle.
+SMALL = 200_000
 
 
 def _lines(text: str | Column) -> Column:
@@ -34,8 +37,8 @@ def _lines(text: str | Column) -> Column:
 
 
 def line_table(docs: DataFrame, id_column: str, site: str, text: str) -> DataFrame:
-    """(id, mark, place, site, first, second) of each line that is not blank; ``first`` and
-    ``second`` are independent hashes of it."""
+    """(id, mark, place, site, first, second) of each line that is not blank; ``mark`` is a hash of
+    its text, ``first`` and ``second`` are independent hashes of the line."""
     rows = docs.select(
         F.col(id_column),
         F.xxhash64(text).alias("mark"),
@@ -48,21 +51,36 @@ def line_table(docs: DataFrame, id_column: str, site: str, text: str) -> DataFra
     )
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A written table, sent to every task if it is small."""
+    return F.broadcast(table) if table.count() <= SMALL else table
+
+
+def copied(docs: DataFrame, site: str, text: str) -> DataFrame:
+    """(mark, home) of the texts that stand on several sites; ``home`` is the least of these."""
+    rows = docs.where(F.length(text) > 0).select(
+        F.xxhash64(text).alias("mark"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site")
+    )
+    sites = rows.groupBy("mark").agg(F.min("site").alias("home"), F.max("site").alias("last"))
+    return sites.where("home < last").select("mark", "home")
+
+
 def widespread(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
     """Keys of the lines that stand on at least ``min_sites`` distinct sites."""
-    # A line's rows of one site become one before they are dealt out, so the rows of a line that
-    # is everywhere never meet.
-    pairs, _ = settle(lines.groupBy(*KEY, "site").agg(F.count("*").alias("n")))
-    frequent = pairs.groupBy(*KEY).agg(F.sum("n").alias("n")).where(F.col("n") >= min_sites).select(*KEY)
+    often, _ = settle(lines.groupBy(*KEY).count().where(F.col("count") >= min_sites).select(*KEY))
+    often = lines.join(_small(often), KEY, "left_semi")
     estimates, _ = settle(
-        pairs.join(frequent, KEY, "left_semi")
-        .groupBy(*KEY)
-        .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("sites"))
+        often.groupBy(*KEY).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("sites"))
     )
     sure = estimates.where(F.col("sites") > min_sites * (1 + margin)).select(*KEY)
-    near = estimates.where(F.col("sites").between(min_sites * (1 - margin), min_sites * (1 + margin)))
+    near, _ = settle(
+        estimates.where(F.col("sites").between(min_sites * (1 - margin), min_sites * (1 + margin))).select(*KEY)
+    )
     exact = (
-        pairs.join(near.select(*KEY), KEY, "left_semi")
+        lines.join(_small(near), KEY, "left_semi")
+        # A line's rows of one site become one in each task before they are dealt out.
+        .groupBy(*KEY, "site")
+        .agg(F.lit(1).alias("one"))
         .groupBy(*KEY)
         .agg(F.count("*").alias("sites"))
         .where(F.col("sites") >= min_sites)
@@ -71,27 +89,24 @@ def widespread(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MAR
     return sure.union(exact)
 
 
-def copied(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """Marks of the texts that stand as a whole on at least ``min_sites`` distinct sites."""
-    return lines.select("mark", "site").distinct().groupBy("mark").count().where(F.col("count") >= min_sites).select("mark")
-
-
 def drop_boilerplate(
     docs: DataFrame,
     id_column: str = "doc_id",
     site: str = "source",
     text: str = "text",
     min_sites: int = MIN_SITES,
+    removed: str = "lines_removed",
 ) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text``, and ``lines_removed`` added.
+    """``docs`` with boilerplate lines taken out of ``text``, and their number added as ``removed``.
 
-    Every row stays, with its columns; other columns may have any name but ``lines_removed``.
+    Every row stays, with its columns; one that is named like ``removed`` is replaced.
     """
     lines, _ = settle(line_table(docs, id_column, site, text))
-    copies, _ = settle(copied(lines, min_sites))
+    homes, _ = settle(copied(docs, site, text))
+    placed = lines.join(_small(homes), "mark", "left").withColumn("site", F.coalesce("home", "site")).drop("home")
+    found, _ = settle(widespread(placed, min_sites))
     places = (
-        lines.join(widespread(lines, min_sites), KEY, "left_semi")
-        .join(copies, "mark", "left_anti")
+        lines.join(_small(found), KEY, "left_semi")
         .groupBy(F.col(id_column).alias("hit_id"), F.col("mark").alias("hit_mark"))
         .agg(F.collect_set("place").alias("hit_places"))
     )
@@ -109,7 +124,8 @@ def drop_boilerplate(
             *(
                 (F.coalesce("kept", old) if name == text else F.col("doc")[name]).alias(name)
                 for name in docs.columns
+                if name != removed
             ),
-            F.when(F.col("hit_places").isNotNull(), F.size("hit_places")).otherwise(0).cast("long").alias("lines_removed"),
+            F.when(F.col("hit_places").isNotNull(), F.size("hit_places")).otherwise(0).cast("long").alias(removed),
         )
     )

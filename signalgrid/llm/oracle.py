@@ -5,26 +5,22 @@ from __future__ import annotations
 from signalgrid.llm.licenses import BASE, MORE, parse
 
 LINES = """
-WITH l AS (
-  SELECT doc_id, COALESCE(source, '') AS site, i,
-    string_split(text, chr(10))[i] AS line, trim(string_split(text, chr(10))[i], ' ' || chr(9) || chr(13)) AS bare
-  FROM (SELECT doc_id, source, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)
+WITH d AS (
+  SELECT doc_id, text, MIN(COALESCE(source, '')) OVER (PARTITION BY text) AS home FROM documents
+), l AS (
+  SELECT doc_id, home, i, string_split(text, chr(10))[i] AS line,
+    trim(string_split(text, chr(10))[i], ' ' || chr(9) || chr(13)) AS bare
+  FROM (SELECT doc_id, home, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM d)
 ), wide AS (
-  SELECT bare FROM l WHERE bare <> '' GROUP BY bare HAVING COUNT(DISTINCT site) >= 10
+  SELECT bare FROM l WHERE bare <> '' GROUP BY bare HAVING COUNT(DISTINCT home) >= 10
 ), kept AS (
-  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone) AS left_over,
+  SELECT doc_id, COALESCE(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS left_over,
     COUNT(*) FILTER (WHERE gone) AS removed
   FROM (SELECT l.*, bare IN (SELECT bare FROM wide) AS gone FROM l) GROUP BY doc_id
-), decided AS (
-  SELECT d.doc_id, d.text, COALESCE(k.left_over, '') AS left_over, COALESCE(k.removed, 0) AS removed,
-    COALESCE(k.removed > 0 AND length(COALESCE(k.left_over, '')) >= length(d.text) * 0.5, FALSE) AS shrunk
-  FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 )
-SELECT doc_id,
-  CAST(COALESCE(length(CASE WHEN shrunk THEN left_over ELSE text END), 0) AS BIGINT) AS n_chars,
-  CAST(CASE WHEN shrunk THEN removed ELSE 0 END AS BIGINT) AS lines_removed,
-  sha256(COALESCE(CASE WHEN shrunk THEN left_over ELSE text END, '')) AS text_sha256
-FROM decided
+SELECT documents.doc_id, CAST(length(COALESCE(left_over, '')) AS BIGINT) AS n_chars,
+  CAST(COALESCE(removed, 0) AS BIGINT) AS lines_removed, sha256(COALESCE(left_over, '')) AS text_sha256
+FROM documents LEFT JOIN kept ON kept.doc_id = documents.doc_id
 """
 
 DECONTAMINATE = r"""

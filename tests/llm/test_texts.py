@@ -209,16 +209,17 @@ def test_lines_against_exact_counts(spark):
     rows += [(200, None, None, None, None), (201, "", None, None, 0), (None, "wide line\n" + "long " * 9, None, None, None), rows[0], rows[0]]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, lines long")
     found = lines.drop_boilerplate(docs).collect()
-    sites = {}
+    home, sites = {}, {}
     for _, text, _, site, _ in rows:
+        home[text] = min(home.get(text, site or ""), site or "")
+    for text in home:
         for line in (text or "").split("\n"):
-            sites.setdefault(line.strip(" \t\r"), set()).add(site or "")
+            sites.setdefault(line.strip(" \t\r"), set()).add(home[text])
     want = []
     for doc, text, lang, site, other in rows:
         split = (text or "").split("\n")
         stay = [line for line in split if not line.strip(" \t\r") or len(sites[line.strip(" \t\r")]) < 10]
-        shrunk = text is not None and len("\n".join(stay)) >= len(text) / 2
-        want.append((doc, "\n".join(stay) if shrunk else text, len(split) - len(stay) if shrunk else 0, lang, site, other))
+        want.append((doc, text and "\n".join(stay), len(split) - len(stay), lang, site, other))
     key = str
     assert sorted(((r.doc_id, r.text, r.lines_removed, r.lang, r.source, r.lines) for r in found), key=key) == sorted(want, key=key)
     assert any(row[2] == 2 for row in want) and found[0].asDict().keys() == {*docs.columns, "lines_removed"}

@@ -13,16 +13,30 @@ def test_boilerplate_goes_whatever_its_share_of_a_text(spark):
     notice = "a notice longer than what stands beside it\nand a footer of the same kind"
     rows = [(i, f"{notice}\nown {i}", f"s{i}") for i in range(12)]
     rows += [(50, notice, "s50"), (51, notice, "s51"), (52, f"\n{notice}", "s52")]
-    rows += [(100 + i, "a page copied around\nas a whole", f"s{i}") for i in range(12)]
+    # A page on twelve sites spreads none of its own lines, and loses what is boilerplate.
+    rows += [(100 + i, f"a page copied around\nas a whole\n{notice}", f"s{i}") for i in range(12)]
     rows += [(200, "as a whole\nbut quoted", "s200"), (201, None, None), (202, notice, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
-    found = {row.doc_id: (row.text, row.lines_removed) for row in lines.drop_boilerplate(docs).collect()}
+    # Ten texts, each on the same two sites: two sites at most.
+    rows += [(300 + 2 * i + j, f"shared by two\nand {i}", f"t{j}") for i in range(10) for j in range(2)]
+    docs = spark.createDataFrame([(*row, "x") for row in rows], "doc_id long, text string, source string, lines_removed string")
+    found = {row.doc_id: (row.text, row.lines_removed) for row in lines.drop_boilerplate(docs.repartition(5)).collect()}
     want = {i: (f"own {i}", 2) for i in range(12)} | {50: ("", 2), 51: ("", 2), 52: ("", 2), 202: ("", 2)}
-    want |= {100 + i: ("a page copied around\nas a whole", 0) for i in range(12)}
-    assert found == want | {200: ("but quoted", 1), 201: (None, 0)}
+    want |= {100 + i: ("a page copied around\nas a whole", 2) for i in range(12)}
+    want |= {row[0]: (row[1], 0) for row in rows if row[0] >= 300}
+    assert found == want | {200: ("as a whole\nbut quoted", 0), 201: (None, 0)}
+    assert lines.drop_boilerplate(docs).columns == docs.columns
     assert lines.drop_boilerplate(messy.nothing(spark)).isEmpty()
 
 
+@pytest.mark.parametrize("small", [0, 200_000])
+def test_boilerplate_is_counted_exactly_around_the_threshold(spark, monkeypatch, small):
+    monkeypatch.setattr(lines, "SMALL", small)
+    rows = [(100 * n + i, f"on {n} sites\n{n} {i}", f"s{i // 3}") for n in range(1, 31) for i in range(3 * n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    found = {row.doc_id: row.lines_removed for row in lines.drop_boilerplate(docs).collect()}
+    assert found == {doc: int(text.startswith("on") and int(text.split()[1]) >= 10) for doc, text, _ in rows}
+
+
 BODY = "<p>" + "</p><p>".join(f"Paragraph {i} has words, and a second clause; it ends here." for i in range(6)) + "</p>"
 TEXT = BODY.replace("</p><p>", "\n").removeprefix("<p>").removesuffix("</p>")
 
