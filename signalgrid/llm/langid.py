@@ -221,3 +221,28 @@ def predict(
                 )
 
     return docs.mapInArrow(run, shape)
+
+
+#: A score counts in steps of one in so many.
+STEPS = 1000
+
+
+def least_score(answered: DataFrame, labels: int, below: float = 0.001, part: float = 0.5, score: str = "score") -> float:
+    """Score under which a text is in no language that was learned: ``part`` of the way from chance
+    (one in ``labels``) to the score that a share ``below`` of ``answered`` stays under.
+
+    ``answered`` are predictions for labelled texts that were not learned from. Without any, or with
+    one label, it is chance itself, and nothing is under it. Found from counts of scores in
+    ``STEPS``, so it does not depend on how rows are dealt out.
+    """
+    chance = 1 / max(labels, 1)
+    step = F.floor(F.col(score) * STEPS).alias("step")
+    counts = dict(answered.where(F.col(score) > 0).groupBy(step).count().collect())
+    if not counts or labels < 2:
+        return chance
+    seen, total = 0, sum(counts.values())
+    for step in sorted(counts):
+        seen += counts[step]
+        if seen > below * total:
+            break
+    return chance + part * max(0.0, step / STEPS - chance)
