@@ -27,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
     model = steps.add_parser("forecast")
     model.add_argument("--date", required=True)
     model.add_argument("--lookback-days", type=int, default=forecast.LOOKBACK_DAYS)
-    model.add_argument("--model", choices=("seasonal", "fourier"), default="seasonal")
+    model.add_argument("--model", choices=("seasonal", "fourier", "changepoints"), default="seasonal")
     steps.add_parser("evaluate").add_argument("--date", required=True)
     steps.add_parser("register").add_argument("--replace", action="store_true")
     return top
@@ -50,7 +50,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             jobs.build_date_dim(spark, lake)
             jobs.build_hex_dim(spark, lake)
         case "forecast":
-            model = forecast.fourier if args.model == "fourier" else None
+            model = getattr(forecast, args.model)
             jobs.run_forecast(spark, lake, args.date, args.lookback_days, model)
         case "evaluate":
             jobs.evaluate_day(spark, lake, args.date)

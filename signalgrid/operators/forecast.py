@@ -8,12 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType, TimestampNTZType
 
 from signalgrid.functions import clip, percent_error, record_time
+from signalgrid.operators import additive
 from signalgrid.schemas import FORECAST_VALUES
 from signalgrid.sources.tables import upsert
 
@@ -26,8 +24,6 @@ MIN_HISTORY = 24
 HORIZON_HOURS = 24
 BAND_Z = 1.2816  # half width of an 80 % band in standard deviations
 RSRP_RANGE = (-140.0, -40.0)
-FOURIER_ORDER = 4
-RIDGE = 0.1
 
 
 def history(
@@ -203,64 +199,68 @@ def finish(raw: DataFrame, digits: int | None = None) -> DataFrame:
     )
 
 
-def _design(hours: np.ndarray, scale: float) -> np.ndarray:
-    """Intercept, trend scaled to the history, and daily sine and cosine terms."""
-    angle = 2 * np.pi * hours[:, None] / 24 * np.arange(1, FOURIER_ORDER + 1)[None, :]
-    return np.column_stack([np.ones_like(hours), hours / scale, np.sin(angle), np.cos(angle)])
+def additive_forecast(
+    training: DataFrame,
+    until: str,
+    series: Sequence[str] = SERIES,
+    digits: int | None = None,
+    days: int = LOOKBACK_DAYS,
+    changes: int = 0,
+) -> DataFrame:
+    """Trend with ``changes`` possible change points plus daily Fourier terms, fitted from sums.
+
+    The history is read once and reduced to one row per series (see ``additive``). Series with less
+    than a day of history give nothing; each forecast starts after the series' own last hour and
+    goes on with the last slope. The band comes from the residuals.
+    """
+    origin = F.date_sub(F.lit(until).cast("date"), days)
+    timed = training.select(
+        *series,
+        _hours_since(origin, F.col("record_time")).alias("t"),
+        F.col("record_time").alias("last_time"),
+        F.col("user_density_count").cast("double").alias("users"),
+        F.col("avg_rsrp").cast("double").alias("rsrp"),
+    )
+    targets, window = ("users", "rsrp"), days * 24.0
+    sums = additive.gram_sums(timed, series, targets, window, changes).where(F.col("n") >= MIN_HISTORY)
+    ahead = additive.forecast_from_sums(sums, series, targets, window, changes, HORIZON_HOURS)
 
+    def band(y: str, width: float) -> Column:
+        return F.col(y) + width * F.col(f"{y}_sd")
 
-def ridge_forecast(
-    hours: np.ndarray, values: np.ndarray, ahead: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fit one series and give centre, lower and upper for the hours ahead."""
-    scale = max(float(hours.max()), 1.0)
-    x = _design(hours, scale)
-    penalty = RIDGE * np.eye(x.shape[1])
-    penalty[0, 0] = 0.0  # the level itself is not shrunk
-    mean = values.mean()
-    weights = np.linalg.solve(x.T @ x + penalty, x.T @ (values - mean))
-    spread = np.std(values - mean - x @ weights, ddof=1) * BAND_Z
-    centre = mean + _design(ahead, scale) @ weights
-    return centre, centre - spread, centre + spread
+    raw = ahead.select(
+        *series,
+        (F.col("last_time") + F.make_dt_interval(F.lit(0), F.col("step"))).alias("forecast_time"),
+        F.col("users").alias("forecast_density"),
+        band("users", -BAND_Z).alias("forecast_lower"),
+        band("users", BAND_Z).alias("forecast_upper"),
+        F.col("rsrp").alias("forecast_rsrp"),
+        band("rsrp", -BAND_Z).alias("forecast_rsrp_lower"),
+        band("rsrp", BAND_Z).alias("forecast_rsrp_upper"),
+    )
+    return finish(raw, digits)
 
 
 def fourier(
-    training: DataFrame, series: Sequence[str] = SERIES, digits: int | None = None
+    training: DataFrame,
+    until: str,
+    series: Sequence[str] = SERIES,
+    digits: int | None = None,
+    days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
-    """Linear trend plus daily Fourier terms, one ridge fit per series.
+    """Straight trend plus daily Fourier terms."""
+    return additive_forecast(training, until, series, digits, days)
 
-    The additive model of Taylor & Letham, "Forecasting at Scale" (2018), without change
-    points. Spark groups and ships each series' history (at most one row per hour of the
-    lookback) to a task; the fit itself is a 10 x 10 linear system.
-    """
-    keys = [training.schema[name] for name in series]
-    schema = StructType(
-        [
-            *keys,
-            StructField("forecast_time", TimestampNTZType()),
-            *(StructField(name, DoubleType()) for name in FORECAST_VALUES),
-        ]
-    )
-    names = list(series)
-
-    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) < MIN_HISTORY:
-            return pd.DataFrame(columns=schema.fieldNames())
-        rows = rows.sort_values("record_time")
-        first, last = rows["record_time"].iloc[0], rows["record_time"].iloc[-1]
-        # Hours count from midnight, so the daily terms mean the hour of day.
-        start = first.normalize()
-        hours = ((rows["record_time"] - start) / pd.Timedelta(hours=1)).to_numpy(float)
-        times = [last + pd.Timedelta(hours=i) for i in range(1, HORIZON_HOURS + 1)]
-        ahead = np.array([(moment - start) / pd.Timedelta(hours=1) for moment in times])
-        out = dict(zip(names, key)) | {"forecast_time": times}
-        columns = iter(FORECAST_VALUES)
-        for target in TARGETS:
-            for bound in ridge_forecast(hours, rows[target].to_numpy(float), ahead):
-                out[next(columns)] = bound
-        return pd.DataFrame(out)[schema.fieldNames()]
-
-    return finish(training.groupBy(*names).applyInPandas(fit, schema), digits)
+
+def changepoints(
+    training: DataFrame,
+    until: str,
+    series: Sequence[str] = SERIES,
+    digits: int | None = None,
+    days: int = LOOKBACK_DAYS,
+) -> DataFrame:
+    """Trend whose slope changes at few of some points, plus daily Fourier terms."""
+    return additive_forecast(training, until, series, digits, days, changes=additive.CHANGES)
 
 
 # ---- store ------------------------------------------------------------------------------

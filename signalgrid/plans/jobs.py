@@ -259,10 +259,10 @@ def run_forecast(
     lake: Lake,
     date: str,
     days: int = forecast.LOOKBACK_DAYS,
-    model: Callable[[DataFrame], DataFrame] | None = None,
+    model: Callable[..., DataFrame] = forecast.seasonal,
 ) -> bool:
-    """Forecast the 24 hours after each series' last hour before ``date``, by ``model`` or
-    else by trend and hour-of-day effect.
+    """Forecast the 24 hours after each series' last hour before ``date``, by ``model``:
+    ``forecast.seasonal``, ``fourier`` or ``changepoints``.
 
     A forecast replaces only an earlier one of the same series and hour; all others stay for
     evaluation, also where they share an hour with a new one.
@@ -270,7 +270,7 @@ def run_forecast(
     training = forecast.history(read_table(spark, lake.fact_hourly), date, days)
     if training.isEmpty():
         return False
-    ahead = model(training) if model else forecast.seasonal(training, date)
+    ahead = model(training, date)
     if tables.table_exists(spark, lake.forecast):
         ahead = materialise(ahead)
         stored = read_table(spark, lake.forecast, merge=True)

@@ -6,6 +6,8 @@ statistics by window, forecasts by regression and residuals joined back.
 
 from __future__ import annotations
 
+import math
+
 from signalgrid.functions.geo import KM_PER_DEGREE_LAT, KM_PER_DEGREE_LNG
 from signalgrid.plans.derived import (
     CELL_FIELDS,
@@ -257,6 +259,63 @@ def forecast_from(training: str, series: str, name: str = "forecast") -> str:
   FROM {name}_u u JOIN {name}_r r USING ({series}, forecast_time))"""
 
 
+def additive_from(training: str, changes: int) -> str:
+    """Gram sums pair by pair, then rounds of descent, one weight a step."""
+    points = [f"{0.8 * k / (changes + 1)!r}e0" for k in range(1, changes + 1)]
+    waves = [f"{wave}({2 * math.pi * k / 24!r}e0 * hour(record_time))" for wave in ("sin", "cos") for k in range(1, 5)]
+    bends = [f"greatest(t / 168.0e0 - {point}, 0.0e0)" for point in points]
+    size = 9 + changes
+    later = [
+        "t2 / 168.0e0",
+        *(f"greatest(t2 / 168.0e0 - {point}, 0.0e0)" for point in points),
+        *(f"{wave}({2 * math.pi * k / 24!r}e0 * hour(forecast_time))" for wave in ("sin", "cos") for k in range(1, 5)),
+    ]
+    level = lambda value: f"round(least(greatest({value}, -140.0e0), -40.0e0), 3)"
+    load = lambda value: f"round(greatest({value}, 0.0e0), 3)"
+    return f"""
+timed AS (SELECT hex_id, cell_id, record_time, user_density_count, avg_rsrp, CAST(date_diff('hour',
+  DATE '{DAY}' - INTERVAL 7 DAY, record_time) AS DOUBLE) AS t FROM {training}),
+long AS (SELECT hex_id, cell_id, 'u' AS y_name, CAST(user_density_count AS DOUBLE) AS y, record_time, t,
+    [{", ".join(["t / 168.0e0", *bends, *waves])}] AS x FROM timed
+  UNION ALL BY NAME SELECT hex_id, cell_id, 'r' AS y_name, avg_rsrp AS y, record_time, t,
+    [{", ".join(["t / 168.0e0", *bends, *waves])}] AS x FROM timed),
+whole AS (SELECT hex_id, cell_id, y_name, count(*) AS n, avg(y) AS ym, sum(y * y) / count(*) - avg(y) * avg(y) AS v,
+  max(record_time) AS last_time, max(t) AS last_t FROM long GROUP BY ALL HAVING count(*) >= 24),
+scaled AS (SELECT *, v <= 1e-12 * ym * ym AS flat, CASE WHEN v <= 1e-12 * ym * ym THEN 1.0e0 ELSE sqrt(v) END AS s
+  FROM whole),
+each AS (SELECT hex_id, cell_id, y_name, y, x, unnest(generate_series(1, {size})) AS i FROM long),
+one AS (SELECT hex_id, cell_id, y_name, i, avg(x[i]) AS xm, sum(x[i] * y) AS xy FROM each GROUP BY ALL),
+two AS (SELECT hex_id, cell_id, y_name, i, j, sum(x[i] * x[j]) AS xx
+  FROM (SELECT *, unnest(generate_series(1, {size})) AS j FROM each) GROUP BY ALL),
+sums AS MATERIALIZED (SELECT hex_id, cell_id, y_name, a.i,
+    any_value(CASE WHEN flat THEN 0.0e0 ELSE (a.xy - n * a.xm * ym) / s END) AS q, any_value(a.xm) AS xm,
+    any_value(CASE WHEN a.i BETWEEN 2 AND {1 + changes} THEN 0.002e0 * n ELSE 0.0e0 END) AS penalty,
+    list(xx - n * a.xm * b.xm ORDER BY j) AS g
+  FROM scaled JOIN one a USING (hex_id, cell_id, y_name) JOIN two t USING (hex_id, cell_id, y_name)
+  JOIN one b USING (hex_id, cell_id, y_name) WHERE t.i = a.i AND t.j = b.i GROUP BY hex_id, cell_id, y_name, a.i),
+descent AS (SELECT hex_id, cell_id, y_name, 0 AS step, [{", ".join(["0.0e0"] * size)}] AS b FROM scaled
+  UNION ALL SELECT hex_id, cell_id, y_name, step + 1, list_concat(list_append(b[:i - 1],
+      sign(left_over) * greatest(abs(left_over) - penalty, 0.0e0) / (own + 0.1e0)), b[i + 1:])
+  FROM (SELECT hex_id, cell_id, y_name, step, b, i, penalty, g[i] AS own,
+      q - (list_dot_product(g, b) - g[i] * b[i]) AS left_over
+    FROM descent JOIN sums USING (hex_id, cell_id, y_name) WHERE i = step % {size} + 1 AND step < {60 * size})),
+weights AS (SELECT hex_id, cell_id, y_name, b FROM descent WHERE step = {60 * size}),
+spread AS (SELECT hex_id, cell_id, y_name, any_value(w.b) AS b, list(xm ORDER BY i) AS xm,
+    -2 * sum(w.b[i] * q) + sum(w.b[i] * list_dot_product(g, w.b)) AS taken
+  FROM weights w JOIN sums USING (hex_id, cell_id, y_name) GROUP BY hex_id, cell_id, y_name),
+ahead AS (SELECT *, last_time + INTERVAL 1 HOUR * k AS forecast_time, last_t + k AS t2,
+    s * sqrt(greatest(CASE WHEN flat THEN 0 ELSE n END + taken, 0.0e0) / (n - 1)) AS sd
+  FROM (SELECT *, unnest(generate_series(1, 24)) AS k FROM scaled) JOIN spread USING (hex_id, cell_id, y_name)),
+valued AS (SELECT hex_id, cell_id, y_name, forecast_time, sd,
+  ym + s * (list_dot_product([{", ".join(later)}], b) - list_dot_product(xm, b)) AS v FROM ahead),
+forecast AS (SELECT hex_id, cell_id, forecast_time, CAST(round({load('u.v')}) AS INTEGER) AS forecast_density,
+  {load('u.v - 1.2816e0 * u.sd')} AS forecast_lower, {load('u.v + 1.2816e0 * u.sd')} AS forecast_upper,
+  {level('r.v')} AS forecast_rsrp, {level('r.v - 1.2816e0 * r.sd')} AS forecast_rsrp_lower,
+  {level('r.v + 1.2816e0 * r.sd')} AS forecast_rsrp_upper,
+  CAST(forecast_time AS DATE) AS forecast_date, CAST(hour(forecast_time) AS INTEGER) AS forecast_hour
+  FROM (FROM valued WHERE y_name = 'u') u JOIN (FROM valued WHERE y_name = 'r') r USING (hex_id, cell_id, forecast_time))"""
+
+
 TRAINING = f"""
 training AS (SELECT hex_id, cell_id, event_date + INTERVAL 1 HOUR * event_hour AS record_time,
   user_density_count, avg_rsrp FROM fact
@@ -548,6 +607,10 @@ SELECT {FACT_COLUMNS} FROM fact""",
   {moment('record_time')}, user_density_count, avg_rsrp FROM training""",
     "forecast_seasonal": f"""WITH {FORECAST} SELECT hex_id, cell_id, {FORECAST_COLUMNS}
 FROM forecast""",
+    "forecast_fourier": f"""WITH RECURSIVE {FACT},{TRAINING},{additive_from('training', 0)}
+SELECT hex_id, cell_id, {FORECAST_COLUMNS} FROM forecast""",
+    "forecast_changepoints": f"""WITH RECURSIVE {FACT},{TRAINING},{additive_from('training', 6)}
+SELECT hex_id, cell_id, {FORECAST_COLUMNS} FROM forecast""",
     "forecast_by_cell": f"""WITH {FACT},
 {TRAINING.replace("AND hex_id IS NOT NULL ", "")},
 by_cell AS (SELECT cell_id, record_time,

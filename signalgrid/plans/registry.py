@@ -46,6 +46,9 @@ from signalgrid.schemas import CELL_COLUMNS, MEASUREMENT_COLUMNS
 from signalgrid.sources import landing, tables
 from signalgrid.streaming import streams
 
+# Fits by rounds of descent add up in another order in another engine.
+COARSE = 3
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -468,7 +471,12 @@ def forecast_by_cell(t: Tables) -> DataFrame:
 
 @query
 def forecast_fourier(t: Tables) -> DataFrame:
-    return forecast.fourier(t.training, digits=DIGITS)
+    return forecast.fourier(t.training, DAY, digits=COARSE)
+
+
+@query
+def forecast_changepoints(t: Tables) -> DataFrame:
+    return forecast.changepoints(t.training, DAY, digits=COARSE)
 
 
 @query

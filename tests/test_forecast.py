@@ -3,10 +3,11 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from signalgrid.operators import forecast
+from signalgrid.operators import additive, forecast
 
 UNTIL = "2024-01-08"
 FACTS = (
@@ -64,8 +65,6 @@ def test_seasonal_recovers_a_known_signal(steady):
 
 
 def test_seasonal_equals_least_squares_by_hand(spark):
-    import numpy as np
-
     rng = np.random.default_rng(3)
     noise = rng.normal(0, 4, 168)
     skip = {5, 40, 41, 99}
@@ -85,37 +84,95 @@ def test_seasonal_equals_least_squares_by_hand(spark):
         assert row.forecast_rsrp_upper - want == pytest.approx(1.2816 * rest.std(ddof=1), abs=4e-6)
 
 
-@pytest.mark.parametrize("model", ["seasonal", "fourier"])
+@pytest.mark.parametrize("model", [forecast.seasonal, forecast.fourier, forecast.changepoints])
 def test_short_series_give_nothing(spark, model):
     short = facts(spark, ("1:1", "S"), range(23), lambda i: 5, lambda i: -90)
     enough = facts(spark, ("1:1", "E"), range(24), lambda i: 5, lambda i: -90)
     training = forecast.history(short.union(enough), UNTIL)
-    ahead = (
-        forecast.seasonal(training, UNTIL) if model == "seasonal" else forecast.fourier(training)
-    )
+    ahead = model(training, UNTIL)
     rows = ahead.collect()
     assert {r.cell_id for r in rows} == {"E"} and len(rows) == 24
     assert min(r.forecast_time for r in rows) == START + dt.timedelta(hours=24)
     assert {r.forecast_density for r in rows} == {5}
     nothing = training.limit(0)
-    empty = (
-        forecast.seasonal(nothing, UNTIL) if model == "seasonal" else forecast.fourier(nothing)
-    )
+    empty = model(nothing, UNTIL)
     assert empty.count() == 0 and empty.columns == ahead.columns
 
 
-def test_fourier_recovers_a_known_signal(steady):
-    rows = forecast.fourier(forecast.history(steady, UNTIL)).orderBy("forecast_time").collect()
+@pytest.mark.parametrize("model", [forecast.fourier, forecast.changepoints])
+def test_fourier_recovers_a_known_signal(steady, model):
+    rows = model(forecast.history(steady, UNTIL), UNTIL).orderBy("forecast_time").collect()
     assert len(rows) == 24
     for k, r in enumerate(rows):
         i = 168 + k
         assert r.forecast_rsrp == pytest.approx(-100 + i / 8 + 5 * daily(i), abs=0.5)
         assert r.forecast_rsrp_lower <= r.forecast_rsrp <= r.forecast_rsrp_upper
-    assert dict(forecast.fourier(forecast.history(steady, UNTIL)).dtypes) == dict(
+    assert dict(model(forecast.history(steady, UNTIL), UNTIL).dtypes) == dict(
         forecast.seasonal(forecast.history(steady, UNTIL), UNTIL).dtypes
     )
 
 
+def test_a_bent_trend_is_followed_and_a_straight_one_stays_straight(spark):
+    rng = np.random.default_rng(5)
+    noise = rng.normal(0, 0.3, 200)
+    bent = lambda i: -110 + 0.05 * i + 0.3 * max(0, i - 80) + 3 * daily(i) + noise[i]
+    straight = lambda i: -110 + 0.1 * i + 3 * daily(i) + noise[i]
+    both = facts(spark, ("1:1", "B"), range(168), lambda i: 9, bent).union(
+        facts(spark, ("1:1", "S"), range(168), lambda i: 9, straight)
+    )
+    training = forecast.history(both, UNTIL)
+
+    def error(model, cell, signal):
+        rows = model(training, UNTIL).where(F.col("cell_id") == cell).orderBy("forecast_time").collect()
+        return np.mean([abs(r.forecast_rsrp - signal(168 + k)) for k, r in enumerate(rows)])
+
+    assert error(forecast.changepoints, "B", bent) < 0.25 * error(forecast.fourier, "B", bent)
+    assert error(forecast.changepoints, "S", straight) < 1.0
+
+
+def test_sums_and_rounds_equal_a_fit_over_the_rows(spark):
+    rng = np.random.default_rng(7)
+    hours = sorted(rng.choice(168, 90, replace=False).tolist())
+    level = rng.normal(-95, 5, 168)
+    df = facts(spark, ("1:1", "A"), hours, lambda i: 20, lambda i: level[i])
+    rows = forecast.changepoints(forecast.history(df.repartition(5), UNTIL), UNTIL).orderBy("forecast_time").collect()
+    t = np.array(hours, float)
+    x, y = additive.design(t, 168.0, additive.CHANGES), np.array([level[i] for i in hours])
+    z, centred = (y - y.mean()) / y.std(), x - x.mean(axis=0)
+    penalty = np.zeros(x.shape[1])
+    penalty[1 : 1 + additive.CHANGES] = additive.CHANGE_PENALTY * len(y)
+    weights = np.zeros(x.shape[1])
+    for _ in range(additive.ROUNDS):
+        for j in range(len(weights)):
+            rest = z - centred @ weights + centred[:, j] * weights[j]
+            left = centred[:, j] @ rest
+            weights[j] = np.sign(left) * max(abs(left) - penalty[j], 0) / (centred[:, j] @ centred[:, j] + additive.RIDGE)
+    ahead = additive.design(hours[-1] + np.arange(1.0, 25.0), 168.0, additive.CHANGES) - x.mean(axis=0)
+    want = y.mean() + y.std() * ahead @ weights
+    spread = 1.2816 * y.std() * np.sqrt(((z - centred @ weights) ** 2).sum() / (len(y) - 1))
+    assert [r.forecast_rsrp for r in rows] == pytest.approx(np.clip(want, -140, -40).tolist(), abs=1e-8)
+    assert rows[0].forecast_rsrp_upper == pytest.approx(want[0] + spread, abs=1e-8)
+    assert {r.forecast_density for r in rows} == {20}
+
+
+def test_rounds_reach_the_least_of_the_penalised_squares():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(200, 5))
+    y = x @ np.array([1.0, 0.0, 0.5, 0.0, -2.0]) + rng.normal(0, 0.1, 200)
+    penalty = np.array([0.0, 30.0, 30.0, 30.0, 0.0])
+    weights = additive.descend((x.T @ x)[None], (x.T @ y)[None], penalty[None], 200)[0]
+    slope = x.T @ (y - x @ weights) - additive.RIDGE * weights
+    assert weights[1] == weights[3] == 0 and (np.abs(slope) <= penalty + 1e-8).all()
+    assert slope[[0, 4]] == pytest.approx([0, 0], abs=1e-8) and slope[2] == pytest.approx(30 * np.sign(weights[2]))
+
+
+@pytest.mark.parametrize("model", [forecast.fourier, forecast.changepoints])
+def test_history_is_reduced_before_one_shuffle(steady, model):
+    plan = model(forecast.history(steady, UNTIL), UNTIL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "InPandas" not in plan
+    assert plan.index("MapInArrow") < plan.index("Exchange") < plan.rindex("HashAggregate")
+
+
 def test_clipping(spark):
     falling = facts(spark, ("1:1", "A"), range(168), lambda i: 168 - i, lambda i: -60 + i / 7)
     rows = forecast.seasonal(forecast.history(falling, UNTIL), UNTIL).collect()

@@ -188,7 +188,7 @@ def test_forecast_and_evaluation(spark, lake, tmp_path):
     )
     hours.write.partitionBy("event_date", "event_hour").parquet(own.fact_hourly)
     assert jobs.evaluate_day(spark, own, DAY) is False if table_exists(spark, own.forecast) else True
-    for model in (None, forecast.fourier):
+    for model in (forecast.seasonal, forecast.fourier, forecast.changepoints):
         assert jobs.run_forecast(spark, own, DAY, model=model)
         ahead = read_table(spark, own.forecast)
         assert ahead.count() == 24
