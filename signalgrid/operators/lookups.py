@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # About 200 MB of narrow dimension rows on each executor.
 MAX_BROADCAST_ROWS = 2_000_000
+# Half a megabyte of bitmap in each task.
+COPY_BITS = 1 << 22
 
 
 def fits(stored: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> bool:
@@ -61,15 +63,63 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return _one_per_key(df, keys, order, F.min)
 
 
+def maybe_copied(df: DataFrame, keys: Sequence[str], bits: int = COPY_BITS) -> Column:
+    """A condition on rows of ``df`` that holds for all whose keys occur more than once, and for
+    about one in ``bits`` of the others for each copied key.
+
+    Hashes of the keys are counted in a narrow shuffle; those that come again set bits of a bitmap
+    of fixed size, which goes to every task as a scalar subquery. Hashes that collide or share a
+    bit only let a few more rows through. No job runs while the plan is built.
+    """
+    hashed = F.xxhash64(*keys)
+    again = df.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    place = F.pmod("_hash", F.lit(bits))
+    words = again.select(
+        F.shiftright(place, 6).alias("_word"),
+        # Shifts take the place within a word.
+        F.expr(f"shiftleft(1L, cast(pmod(_hash, {bits}L) % 64 AS int))").alias("_set"),
+    )
+    all_words = df.sparkSession.range(0, bits // 64, 1, 1).select(F.col("id").alias("_word"), F.lit(0).cast("long").alias("_set"))
+    one = (
+        words.union(all_words)
+        .groupBy("_word")
+        .agg(F.bit_or("_set").alias("_set"))
+        .agg(F.array_sort(F.collect_list(F.struct("_word", "_set")))["_set"].alias("_bitmap"))
+    )
+    own = F.pmod(hashed, F.lit(bits))
+    return F.getbit(F.get(one.scalar(), F.shiftright(own, 6).cast("int")), (own % 64).cast("int")) == 1
+
+
 def flag_first(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "is_first_copy"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = "is_first_copy",
+    bits: int = COPY_BITS,
 ) -> DataFrame:
+    """Mark the first row per key and keep all rows; ties beyond ``order`` go by the other columns.
+
+    Rows whose key is nowhere else are their own first: a bitmap of the hashes of copied keys
+    (:func:`maybe_copied`) tells them, and they are never shuffled. Only what it lets through is
+    compared. ``bits`` costs an eighth of its number in bytes; some 16 for each copied key keep
+    nearly all other rows out, fewer only shuffle more of them.
+
+    ``df`` is read three times and must give the same rows each time: a stored table, or steps
+    that depend on nothing but their input.
+    """
+    suspect = maybe_copied(df, keys, bits)
+    marked = df.withColumn("_suspect", suspect)
+    alone = marked.where(~F.col("_suspect")).drop("_suspect").withColumn(name, F.lit(True))
+    return alone.unionByName(_flag_among(marked.where("_suspect").drop("_suspect"), keys, order, name))
+
+
+def _flag_among(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Mark the first row per key and keep all rows.
 
     Two steps, so that no task gets all copies of a hot key: the copies that came from one
     input partition settle their first among themselves, then only those firsts meet. Rows
-    that lost stay spread over their old partitions. Ties beyond ``order`` go by the other
-    columns, so the outcome does not depend on how the input was split.
+    that lost stay spread over their old partitions. The outcome does not depend on how the
+    input was split; while it runs, the split must be that of a stored input.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     ranking = [*order, *rest]

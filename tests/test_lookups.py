@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -11,6 +12,7 @@ from signalgrid.operators.lookups import (
     fits,
     flag_first,
     lookup_join,
+    maybe_copied,
     newest_per_key,
     sized,
 )
@@ -33,11 +35,11 @@ def rank(value):
     return (value is not None, value if value is not None else 0)
 
 
-@pytest.mark.parametrize("partitions", [1, 7])
-def test_flag_first_against_brute_force(spark, partitions):
+@pytest.mark.parametrize("partitions, bits", [(1, 1 << 16), (7, 1 << 16), (7, 64)])
+def test_flag_first_against_brute_force(spark, partitions, bits):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, SCHEMA).repartition(partitions)
-    flagged = flag_first(df, ["k", "lat"], ["ts"]).collect()
+    flagged = flag_first(df, ["k", "lat"], ["ts"], bits=bits).collect()
     assert Counter((r.k, r.lat, r.ts, r.other) for r in flagged) == Counter(rows)
     groups = defaultdict(list)
     for row in rows:
@@ -57,6 +59,29 @@ def test_flag_first_spreads_a_hot_key(spark):
     assert max(r["count"] for r in shares) < 80000 / 2
 
 
+def test_rows_that_have_no_copy_are_never_shuffled(spark):
+    wide = spark.range(0, 50_000, 1, 8).select(
+        (F.col("id") % 49_000).alias("k"), "id", F.lpad(F.col("id").cast("string"), 200, "x").alias("text")
+    )
+    through = {row.k for row in wide.where(maybe_copied(wide, ["k"])).collect()}
+    assert set(range(1000)) <= through and len(through) < 1100
+    flagged = flag_first(wide, ["k"], ["id"])
+    assert flagged.count() == 50_000
+    assert flagged.where("is_first_copy").count() == 49_000 and flagged.where("is_first_copy AND id >= 49000").isEmpty()
+    tree = flagged._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    # Wide rows are dealt out below the bitmap's filter only: those that passed, once by key and
+    # input partition and once by key.
+    nodes = re.split(r"\n\n\(\d+\) ", tree)
+    dealt = [node for node in nodes if node.startswith("Exchange") and "text" in node.split("Arguments")[0]]
+    assert 1 <= len(dealt) <= 2
+    main = tree.split("===== Subqueries =====")[0]
+    assert main.index("Union") < main.index("Window") < main.index("Exchange")
+    narrow = tree.split("===== Subqueries =====")[1]
+    assert "Exchange" in narrow and "text#" not in narrow
+
+
 def test_one_per_key(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
