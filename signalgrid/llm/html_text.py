@@ -2,9 +2,10 @@
 
 A page is cut into blocks (text between block-level tags). Blocks below menus, headers, footers,
 sidebars, notices, adverts, forms, comments and the like (by tag, role, or a whole word of class or
-id) are out, and so is what is hidden; never an html, body, main or article element, nor an element
-around the page's only article or most of its text (``_spared``), unless its tag says so. For each root-to-leaf tag path of the rest, text length per block and punctuation per block are
-aggregated; both ratios are smoothed over the page in block order and fused, and paths whose
+id) are out, and so is what is hidden; never an html, body, main or article element. An element that
+is out by a name of layout (sidebar, widget, header) or a form stays if it is around the page's only
+article or most of its text (``_spared``); comments, notices, adverts and the like never do. For each
+root-to-leaf tag path of the rest, text length per block and punctuation per block are aggregated; both ratios are smoothed over the page in block order and fused, and paths whose
 greatest fused ratio reaches the threshold are content. The least element around the content
 blocks (an article or main element around them if there is one) is the article: all its blocks
 stay, short ones and lists of links too. Without article or main, headings and text that border on
@@ -19,6 +20,7 @@ script runs to the end of the page.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from html import unescape
 
@@ -49,15 +51,18 @@ OUT_TAGS = frozenset(
     " template textarea title".split()
 )
 OUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu navigation search".split())
-OUT_WORDS = frozenset(
-    "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies"
-    " disclaimer footer login menu modal nav navbar navigation newsletter notice pagination popup promo promotion"
-    " related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+#: Names of what is never part of an article, however much of a page it is.
+NEVER_WORDS = frozenset(
+    "ad ads adsbygoogle advert advertisement adverts breadcrumb breadcrumbs comment comments consent cookie cookies"
+    " copyright disclaimer login modal newsletter notice pagination popup promo promotion related share sharing signup"
+    " social sponsor sponsored subscribe".split()
 )
+#: Names of layout, which may be around an article.
+OUT_WORDS = NEVER_WORDS | frozenset("banner footer menu nav navbar navigation sidebar toolbar widget".split())
 HEAD_WORDS = frozenset("header masthead topbar".split())
 #: Parts that may stand beside such a word in one name (site-footer); any other part is of a state or layout.
 PLAIN_WORDS = frozenset(
-    "area bar block bottom box buttons container global inner left links list main page post posts primary right"
+    "area bar block bottom box buttons container global google inner left links list main page post posts primary right"
     " secondary section site slot top unit wrap wrapper".split()
 )
 #: Tags whose elements may still be around the whole text; of the other out tags none is.
@@ -73,12 +78,14 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
     re.S,
 )
+#: What may begin behind the last ``>`` of a page and runs to its end.
+_OPEN_ENDED = re.compile(r"<!--.*\Z|<!\[CDATA\[.*\Z|<[!?].*\Z|(?!)(/?)()()", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _PART = re.compile(r"[-_]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "parent", "out", "article", "depth", "mark", "fixed")
+    __slots__ = ("tag", "path", "parent", "out", "article", "depth", "mark", "fixed", "holder")
 
     def __init__(self, tag: str, path: int, parent: _Element | None, out: bool, article: bool):
         self.tag, self.path, self.parent, self.out, self.article = tag, path, parent, out, article
@@ -86,6 +93,8 @@ class _Element:
         #: The nearest mark it is under, and whether it is under an element that its tag puts out.
         self.mark: _Mark | None = parent and parent.mark
         self.fixed: bool = bool(parent and parent.fixed)
+        #: The nearest block it is in, itself included.
+        self.holder: _Element = self if tag in BLOCK or not parent else parent.holder
 
 
 class _Mark:
@@ -108,23 +117,27 @@ def _names(value: str, words: frozenset[str]) -> bool:
     return False
 
 
-def _is_out(tag: str, attributes: str, article: bool) -> bool:
-    """Whether an element and all below it is no part of an article."""
+def _is_out(tag: str, attributes: str, article: bool) -> int:
+    """Whether an element and all below it is no part of an article: 0 if it may be one, 1 unless it
+    is around the article, 2 in any case."""
     if tag in WHOLE:
-        return False
-    if tag in OUT_TAGS or (tag == "header" and not article):
-        return True
+        return 0
+    if tag in OUT_TAGS and tag not in AROUND_TAGS:
+        return 2
     words = OUT_WORDS if article else OUT_WORDS | HEAD_WORDS
+    found = int(tag in OUT_TAGS or (tag == "header" and not article))
     for match in _ATTRIBUTE.finditer(attributes):
         name = match[1].lower()
         value = (match[2] or match[3] or match[4] or "").strip().lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in OUT_ROLES):
-            return True
+        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+            return 2
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name in ("class", "id") and _names(value, words):
-            return True
-    return False
+            return 2
+        if name in ("class", "id") and _names(value, NEVER_WORDS):
+            return 2
+        if (name == "role" and value in OUT_ROLES) or (name in ("class", "id") and _names(value, words)):
+            found = 1
+    return found
 
 
 def _spared(marks: list[_Mark], total: int, standing: int) -> set[int]:
@@ -158,6 +171,7 @@ def _parse(page: str, spared: Iterable[int]) -> tuple[list[tuple[str, _Element,
     found: list[tuple[str, _Element, int]] = []
     parts: list[str] = []
     holder = element
+    open_tags: Counter[str] = Counter()
     links = linked = 0
     at = 0
 
@@ -192,12 +206,13 @@ def _parse(page: str, spared: Iterable[int]) -> tuple[list[tuple[str, _Element,
         while element is not target:
             if element.tag == "a":
                 links = max(links - 1, 0)
+            open_tags[element.tag] -= 1
             element = element.parent
-        holder = element
-        while holder.parent and holder.tag not in BLOCK:
-            holder = holder.parent
+        holder = element.holder
 
-    while match := _TOKEN.search(page, at):
+    # Behind the last of these no tag ends; there is no point in trying.
+    last = page.rfind(">")
+    while (match := _TOKEN.search(page, at)) if at <= last else (match := _OPEN_ENDED.search(page, at)):
         measure(page[at : match.start()])
         if not element.out:
             add(page[at : match.start()])
@@ -209,9 +224,9 @@ def _parse(page: str, spared: Iterable[int]) -> tuple[list[tuple[str, _Element,
         tag = match[2].lower()
         if match[1]:
             target = element
-            while target.parent and target.tag != tag:
+            while open_tags[tag] and target.tag != tag:
                 target = target.parent
-            if target.parent:
+            if open_tags[tag]:
                 if tag in BLOCK:
                     close_block()
                 pop_to(target.parent)
@@ -243,10 +258,11 @@ def _parse(page: str, spared: Iterable[int]) -> tuple[list[tuple[str, _Element,
         own = _is_out(tag, match[3], element.article)
         if article and not element.article and element.mark and not element.fixed:
             element.mark.articles += 1
-        out = element.out or (own and place not in spared)
+        out = element.out or own == 2 or (own == 1 and place not in spared)
         path = paths.setdefault((element.path, tag), len(paths) + 1)
         element = _Element(tag, path, element, out, article)
-        if own and tag in OUT_TAGS and tag not in AROUND_TAGS:
+        open_tags[tag] += 1
+        if own == 2:
             element.fixed = True
         elif own and not element.fixed:
             element.mark = _Mark(place, article, element.mark)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import messy
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +66,32 @@ def test_names_put_out_parts_of_a_page_and_not_the_page(page):
     assert html_text.main_text(page) in (TEXT, TEXT + "\nx")
 
 
+@pytest.mark.parametrize(
+    "junk",
+    [
+        f'<div class="comments">{BODY * 3}</div>',
+        f'<section id="comment-list"><article>{BODY}</article><article>{BODY}</article></section>',
+        f'<div class="cookie-notice">{BODY * 2}</div>',
+        f'<p class=notice>{TEXT}</p>',
+        f'<div class=copyright>{BODY * 2}</div>',
+        f'<div class="google_ads_1">{BODY * 2}</div><ins class="adsbygoogle">{BODY}</ins>',
+        f'<div class="newsletter"><div class="content">{BODY * 2}</div></div>',
+    ],
+)
+def test_comments_and_notices_are_never_text_however_long(junk):
+    assert html_text.main_text(f"<body><div class=story>{BODY}</div>{junk}</body>") == TEXT
+    assert html_text.main_text(f"<body><article>{BODY}{junk}</article></body>") == TEXT
+    assert html_text.main_text(f"<body>{junk}</body>") == ""
+
+
+@pytest.mark.parametrize("piece", ["<b>", "<a ", '<a "', "<div></span>", "<i></i></u>", "<!", "<p><em>"])
+def test_long_broken_pages_take_time_in_proportion(piece):
+    page = f"<article>{BODY}" + piece * (300_000 // len(piece))
+    begin = time.process_time()
+    assert html_text.main_text(page).startswith(TEXT[:200])
+    assert time.process_time() - begin < 6
+
+
 LONG = "<p>" + "</p><p>".join(["A sentence, and more; so on: words. " * 11 + str(i) for i in range(3)]) + "</p>"
 PLAIN = LONG.replace(" </p><p>", "\n").replace("</p><p>", "\n").removeprefix("<p>").removesuffix("</p>")
 MENU = "<ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul>"
