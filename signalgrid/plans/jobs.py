@@ -195,7 +195,8 @@ def merge_late(
     spark: SparkSession, lake: Lake, limits: Limits = Limits(), grid: HexGrid = HexGrid()
 ) -> bool:
     """Merge quarantined late rows into the clean table, rebuild the facts of their hours,
-    then empty the quarantine.
+    then empty the quarantine of what was read. Late rows that another hour's check writes
+    meanwhile stay for the next merge.
 
     Only hours with late rows are read and written. Rows still pass the quality rules before
     they are merged, by the distance statistics of their whole hour. What is merged is also
@@ -205,6 +206,8 @@ def merge_late(
     if not tables.table_exists(spark, lake.late_arrival):
         return False
     behind = read_table(spark, lake.late_arrival, merge=True)
+    # As planned now: what is written while the merge runs is not among them.
+    files = behind.inputFiles()
     if behind.isEmpty():
         return False
     cells = lookups.sized(read_table(spark, lake.dim_cell))
@@ -247,7 +250,7 @@ def merge_late(
     replace_partitions(merged, lake.mdt_clean, EVENT_HOUR)
     tables.append(rejected, lake.dirty_data, EVENT_HOUR)
     replace_partitions(facts.hourly(merged, cells, grid), lake.fact_hourly, EVENT_HOUR)
-    tables.truncate(spark, lake.late_arrival, BATCH)
+    tables.remove_files(spark, files)
     return True
 
 

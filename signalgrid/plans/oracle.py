@@ -518,8 +518,7 @@ SELECT event_id, time_ms, p_cell_rsrp, strftime(local, '%Y-%m-%d') AS event_date
   province_name, district_name FROM records""",
     "compacted_write": f"""WITH {MDT} SELECT CAST(3 AS BIGINT) AS files, count(*) AS row_count
 FROM mdt""",
-    "truncate_table": f"""WITH {MDT} SELECT event_id, device_code, event_hour FROM mdt
-WHERE event_hour < 6""",
+    "truncate_table": f"""WITH {MDT} SELECT event_id, device_code, event_hour FROM mdt""",
     "register_table": f"""WITH {MDT} SELECT event_id, device_code, {day('event_date')} FROM mdt""",
     "forecast_store": f"""SELECT * FROM (WITH {FORECAST} SELECT hex_id, cell_id, {FORECAST_COLUMNS}
   FROM forecast)

@@ -190,6 +190,15 @@ def truncate(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -
     write_table(spark.createDataFrame([], schema), path, partition_by)
 
 
+def remove_files(spark: SparkSession, names: Iterable[str]) -> None:
+    """Delete these files (as ``DataFrame.inputFiles`` names them) and nothing else of their
+    tables; one that is gone already is no error."""
+    to_uri = spark.sparkContext._jvm.java.net.URI
+    for name in names:
+        place, files = file_system(spark, name)
+        files.delete(place(to_uri(name)), False)
+
+
 def register(spark: SparkSession, name: str, path: str, replace: bool = False) -> bool:
     """Make a table known to the session catalog under ``name``.
 

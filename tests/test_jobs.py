@@ -123,6 +123,30 @@ def test_late_rows(spark, lake):
     assert read_table(spark, lake.mdt_clean).where("event_hour = 8").count() == before + 1
 
 
+def test_late_rows_that_come_during_a_merge_stay_for_the_next(spark, tmp_path, monkeypatch):
+    lake = jobs.Lake(str(tmp_path))
+    (tmp_path / "landing").mkdir()
+    cells = tmp_path / "cells.csv"
+    cells.write_text(f"{CELLS}\nC1,21.001,105.801,S1,120,HN,D1\n")
+    jobs.ingest_cells(spark, lake, str(cells))
+    run_hour(spark, lake, 7, *good(7))
+    run_hour(spark, lake, 8, *good(8), line("early", 7, 30))
+    rebuild = jobs.facts.hourly
+
+    def meanwhile(*args, **kwargs):
+        monkeypatch.undo()
+        run_hour(spark, lake, 9, *good(9), line("during", 7, 31), line("during2", 8, 31))
+        return rebuild(*args, **kwargs)
+
+    monkeypatch.setattr(jobs.facts, "hourly", meanwhile)
+    assert jobs.merge_late(spark, lake)
+    waiting = {row.device_code for row in read_table(spark, lake.late_arrival).collect()}
+    assert waiting == {"during", "during2"}
+    assert jobs.merge_late(spark, lake) and jobs.merge_late(spark, lake) is False
+    clean = {row.device_code for row in read_table(spark, lake.mdt_clean).where("event_hour < 9").collect()}
+    assert {"early", "during", "during2"} <= clean
+
+
 def test_late_rows_survive_a_rerun_and_the_newest_version_counts(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("late")
     lake = jobs.Lake(str(root))
