@@ -314,6 +314,18 @@ def fact_daily(t: Tables) -> DataFrame:
     return facts.hourly(t.measurements, t.cells, coarse, hour=["event_date"], digits=DIGITS)
 
 
+@query
+def p10_daily_from_hours(t: Tables) -> DataFrame:
+    """The low percentile of a day from the stored sketches of its hours."""
+    path = tables.work_folder(t.spark) + "/sketches"
+    coarse = HexGrid(edge_km=DAILY_EDGE_KM)
+    tables.write_table(facts.sketched(t.measurements, t.cells, coarse), path)
+    days = facts.roll_up(tables.read_table(t.spark, path), ["hex_id", "cell_id", "event_date"])
+    return days.select(
+        "hex_id", "cell_id", "event_date", "user_density_count", facts.level_quantile(0.1).alias("p10_rsrp")
+    )
+
+
 @query
 def enrich_shuffled(t: Tables) -> DataFrame:
     """The cell join with a dimension too big to broadcast."""

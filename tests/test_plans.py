@@ -19,7 +19,7 @@ STREAMS = {"stream_fact_hourly", "stream_dedup", "stream_late_repair", "landing_
 # Queries that write a table and read it again.
 WRITERS = {
     "replace_partitions", "csv_measurements", "csv_cells", "compacted_write", "truncate_table",
-    "register_table", "upsert_stored_cells", "forecast_store",
+    "register_table", "upsert_stored_cells", "forecast_store", "p10_daily_from_hours",
 }
 
 
