@@ -5,7 +5,9 @@ match spans a cut, and the parts run through the transition table side by side,
 In the few parts where a rule ends, that rule's own automaton finds the exact spans: leftmost,
 longest, without overlaps within a kind; those whose measured part is too short are dropped.
 
-Spans are in code points, the end exclusive. Null and empty texts have none.
+Spans are in code points, the end exclusive. Null and empty texts have none. Work grows with the
+length of a text, whatever it holds: no place is walked twice in the same state. Repeated rows each
+get their spans, columns beside id and text are not read, an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -53,6 +55,8 @@ MORE = [
 ]
 #: Parts longer than this are walked byte by byte instead of side by side.
 LONG = 4096
+#: Failed runs of so few bytes are cheaper walked again than remembered.
+SHORT_TAIL = 16
 
 
 @dataclass
@@ -77,18 +81,38 @@ def compile_rules(rules: list[Rule]) -> Scanner:
     return Scanner(rules, together, heads, bodies, readable)
 
 
-def _longest(walk: tuple[list, list, list], start: int, width: int, data: bytes, at: int, stop: int) -> int:
-    """End of the longest match from ``at`` on, -1 without one."""
-    classes, step, accepts = walk
-    state, end = start, -1
-    while at < stop:
-        state = step[state + classes[data[at]]]
-        if not state:
-            break
-        at += 1
-        if accepts[state // width]:
-            end = at
-    return end
+class _Walk:
+    """One automaton over one part. Of each state it remembers the places from which nothing more
+    was accepted; a later run that comes there stops, so the runs of all starts together cost a
+    step per state and byte at most."""
+
+    def __init__(self, tables: tuple[tuple[list, list, list], int, int], data: bytes, begin: int, stop: int):
+        (self.classes, self.step, self.accepts), self.start, self.width = tables
+        self.data, self.begin, self.stop = data, begin, stop
+        self.dead: dict[int, bytearray] = {}
+
+    def longest(self, at: int) -> int:
+        """End of the longest match from ``at`` on, -1 without one."""
+        state, end, tail = self.start, -1, []
+        while at < self.stop:
+            state = self.step[state + self.classes[self.data[at]]]
+            if not state:
+                break
+            at += 1
+            if self.accepts[state // self.width]:
+                end, tail = at, []
+                continue
+            dead = self.dead.get(state)
+            if dead and dead[at - self.begin]:
+                at -= 1
+                break
+            tail.append(state)
+        if len(tail) > SHORT_TAIL:
+            for passed in set(tail) - self.dead.keys():
+                self.dead[passed] = bytearray(self.stop - self.begin + 1)
+            for place, passed in enumerate(tail, at - len(tail) + 1 - self.begin):
+                self.dead[passed][place] = 1
+        return end
 
 
 class _Finder:
@@ -135,11 +159,11 @@ class _Finder:
 
     def spans(self, rule: int, data: bytes, at: int, stop: int) -> list[tuple[int, int]]:
         """Leftmost longest matches of a rule in one part that do not overlap."""
-        head, body = self.walks[rule]
+        head, body = (_Walk(tables, data, at, stop) if tables else None for tables in self.walks[rule])
         found = []
         while at < stop:
-            begin = _longest(*head, data, at, stop) if head else at
-            end = _longest(*body, data, begin, stop) if begin >= 0 else -1
+            begin = head.longest(at) if head else at
+            end = body.longest(begin) if begin >= 0 else -1
             if end < 0:
                 at += 1
                 continue

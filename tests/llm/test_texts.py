@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter
 
 import messy
@@ -155,6 +156,41 @@ def test_secrets_equal_regular_expressions():
         assert [(s["kind"], s["start"], s["stop"]) for s in spans if s["kind"] in base] == _secrets(text)
 
 
+_MORE = [
+    (r"gh[pousr]_[A-Za-z0-9]+", "forge", 40),
+    (r"xox[abprs]-[A-Za-z0-9-]+", "chat", 15),
+    (r"AIza[A-Za-z0-9_-]+", "cloud", 39),
+    (r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", "jwt", 40),
+    (r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", "private", 27),
+]
+
+
+def test_added_kinds_equal_regular_expressions():
+    rng = random.Random(4)
+    parts = ["eyJ", ".eyJ", ".", "a1_-", "x" * 30, "ghp_", "gho_", "xoxb-", "AIza", "-----BEGIN ", "RSA ", "PRIVATE KEY", "-----"]
+    parts += ["PRIVATE KEY-----", " ", "é", "Z9" * 20]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(1500)]
+    # Long failed runs are remembered: the same answers right behind them.
+    texts += ["eyJ" * 50 + ".eyJ" * 30 + ".", "eyJ" * 40 + "." + "eyJ" * 40 + " eyJa.eyJb." + "c" * 40, "-----BEGIN " + "A " * 60 + "-----"]
+    scanner = secrets.compile_rules([*secrets.BASE, *secrets.MORE])
+    added = {rule.kind for rule in secrets.MORE}
+    found = 0
+    for text, spans in zip(texts, secrets._Finder(scanner).scan(pa.array(texts))):
+        want = [(m.start(), kind, m.end()) for p, kind, least in _MORE for m in re.finditer(p, text) if len(m[0]) >= least]
+        assert sorted((s["start"], s["kind"], s["stop"]) for s in spans if s["kind"] in added) == sorted(want)
+        found += len(want)
+    assert found > 500
+
+
+@pytest.mark.parametrize("run", ["eyJ", "eyJ.", "gh", "-----BEGIN A ", "AKIA", "0a", "token", "xoxb-"])
+def test_secrets_take_time_in_proportion_to_the_text(run):
+    text = run * (1_000_000 // len(run))
+    finder = secrets._Finder(secrets.compile_rules([*secrets.BASE, *secrets.MORE]))
+    begun = time.process_time()
+    finder.scan(pa.array([text]))
+    assert time.process_time() - begun < 5
+
+
 def test_secret_table(spark):
     docs = messy.documents(spark).union(
         spark.createDataFrame([(900, f"é ghp_{'a1B2' * 9} -----BEGIN RSA PRIVATE KEY-----", *[None] * 7)], messy.SCHEMA)
