@@ -57,3 +57,24 @@ def connected_components(links: DataFrame, left: str, right: str) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v"), F.col("v")).distinct()
     )
+
+
+def numbered(classes: DataFrame) -> DataFrame:
+    """The settled classes with a number of their own as ``node``, whatever their ids."""
+    return settle(classes.withColumn("node", F.monotonically_increasing_id()))[0]
+
+
+def with_least_id(classes: DataFrame, links: DataFrame, left: str, right: str) -> DataFrame:
+    """Numbered classes (node, id, ...) with ``component``: the least id of the classes that links
+    between nodes reach, itself included. Classes without an id carry links on; the component is
+    null only if no class in it has an id."""
+    parts = connected_components(links, left, right).withColumnsRenamed({"node": "_node", "component": "_part"})
+    inside = parts.join(classes.select("node", "id"), F.col("_node") == F.col("node")).select("_node", "_part", "id")
+    least = inside.groupBy(F.col("_part").alias("_of")).agg(F.min("id").alias("_least"))
+    reached = inside.join(least, F.col("_part") == F.col("_of")).select("_node", "_least")
+    # The lesser of both passes over a null.
+    return (
+        classes.join(reached, F.col("node") == F.col("_node"), "left")
+        .withColumn("component", F.least("id", "_least"))
+        .drop("_node", "_least")
+    )

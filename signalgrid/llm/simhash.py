@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from signalgrid.llm.arrays import map_pieces, spread, star_edges, text_bytes
-from signalgrid.llm.components import connected_components
+from signalgrid.llm.components import numbered, with_least_id
 from signalgrid.llm.work import settle
 
 WORDS = 4
@@ -199,14 +199,13 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id (least id reachable).
 
-    Rows without an id get the component of their fingerprint, null if no row with an id has it.
+    Rows without an id link as any other; their component is null if no row in it has an id. An
+    empty table gives an empty one.
     """
     prints, _ = settle(fingerprints(docs, id_column, text))
-    classes, _ = settle(prints.groupBy("print").agg(F.min(id_column).alias("node")))
-    known = classes.where("node is not null")
-    parts = connected_components(near_links(known, block), "u", "v")
-    placed = known.join(parts, known["node"] == parts["node"], "left").select(
-        F.col("print").alias("own"), F.coalesce("component", known["node"]).alias("component_id")
+    classes = numbered(prints.groupBy("print").agg(F.min(id_column).alias("id")))
+    placed = with_least_id(classes, near_links(classes.drop("id"), block), "u", "v").select(
+        F.col("print").alias("own"), F.col("component").alias("component_id")
     )
     return prints.join(placed, prints["print"] == placed["own"], "left").select(
         id_column, F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"

@@ -15,8 +15,9 @@ pairs; closer pairs are all but sure.
 
 Equal vectors of a label are one class with a size. Vectors that are null, zero or hold null or
 non-finite components, and those without a label, link with nothing; vectors of different
-lengths do not link. Rows of one id count as different vectors. A null id is counted by its
-links, but is nobody's component.
+lengths do not link. Rows of one id count as different vectors, and may link with each other. A row
+whose id is null is linked, counted and passed through as any other, but is nobody's component: its
+own is null unless a linked row has an id. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from signalgrid.llm.arrays import star_edges
-from signalgrid.llm.components import connected_components
+from signalgrid.llm.components import numbered, with_least_id
 from signalgrid.llm.work import settle
 
 COSINE = 0.98
@@ -168,8 +169,9 @@ def near_duplicates(
         F.col(label).alias("label"),
     )
     usable = F.col("vector").isNotNull() & F.col("label").isNotNull()
-    classes, _ = settle(
-        rows.where(usable).groupBy("label", "vector").agg(F.min("id").alias("node"), F.count("*").alias("members"))
+    # Numbers, not ids, stand for classes: ids may be null, or shared by different vectors.
+    classes = numbered(
+        rows.where(usable).groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("members"))
     )
     kind = classes.schema["vector"].dataType.simpleString()
     label_kind = classes.schema["label"].dataType.simpleString()
@@ -180,7 +182,7 @@ def near_duplicates(
                 yield _cells(batch)
 
     placed, _ = settle(
-        classes.where("node is not null").mapInArrow(
+        classes.drop("id").mapInArrow(
             cells,
             f"label {label_kind}, vector {kind}, node long, members long, size int, cell long, own boolean",
         )
@@ -230,15 +232,14 @@ def near_duplicates(
         )
     )
     counts = links.where("linked is not null").groupBy(F.col("node").alias("own_node")).agg(F.sum("linked").alias("linked"))
-    parts = connected_components(links.where("other is not null"), "node", "other").withColumnRenamed("node", "part_node")
     known = (
-        classes.join(counts, F.col("node") == F.col("own_node"), "left")
-        .join(parts, F.col("node") == F.col("part_node"), "left")
+        with_least_id(classes, links.where("other is not null"), "node", "other")
+        .join(counts, F.col("node") == F.col("own_node"), "left")
         .select(
             F.col("label").alias("of_label"),
             F.col("vector").alias("of_vector"),
             (F.col("members") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "node").alias("component"),
+            "component",
         )
     )
     return rows.join(

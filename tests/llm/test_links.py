@@ -43,6 +43,32 @@ def test_simhash_equals_brute_force_on_odd_rows(spark):
     assert simhash.near_duplicates(messy.nothing(spark)).isEmpty()
 
 
+def test_documents_without_id_link_their_neighbours(spark):
+    # One bit more each: only the print without an id joins both ends.
+    rows = [(5, 0b1), (None, 0b11111), (9, 0b111111111), (None, -1)]
+    classes = components.numbered(spark.createDataFrame(rows, "id long, print long"))
+    found = components.with_least_id(classes, simhash.near_links(classes.drop("id")), "u", "v").collect()
+    assert {(row.id, row.print): row.component for row in found} == {
+        (5, 0b1): 5, (None, 0b11111): 5, (9, 0b111111111): 5, (None, -1): None
+    }
+
+
+def test_vectors_of_null_and_repeated_ids_link(spark):
+    def at(degrees):
+        return [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))]
+
+    rows = [(1, at(0), 0), (None, at(10), 0), (2, at(20), 0)]
+    rows += [(4, at(90), 0), (4, at(95), 0), (None, at(180), 0), (None, at(185), 0), (7, at(90), 1), (7, at(90), 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = [(row.vec_id, row.n_links, row.component_id, row.kept) for row in vectors.near_duplicates(frame).collect()]
+    assert sorted(found, key=repr) == sorted(
+        [(1, 1, 1, True), (None, 2, 1, False), (2, 1, 1, False), (4, 1, 4, True), (4, 1, 4, True)]
+        + [(None, 1, None, False)] * 2
+        + [(7, 1, 7, True)] * 2,
+        key=repr,
+    )
+
+
 @pytest.mark.parametrize("block", [7, 2048])
 def test_links_of_fingerprints_lose_none(spark, block):
     rng = random.Random(2)
