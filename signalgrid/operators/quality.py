@@ -174,6 +174,18 @@ def within_country(limits: Limits = Limits()) -> Column:
     )
 
 
+def plausible_distance(scope: str = "valid", limits: Limits = Limits()) -> Column:
+    """The distance where it counts for statistics, else null."""
+    if scope not in ("valid", "all"):
+        raise ValueError(f"unknown scope {scope!r}")
+    d = F.col("distance_to_cell_km")
+    if scope == "all":
+        return d
+    # A condition inside the aggregates, not a filter: a filter would be pushed below
+    # the distance and compute it twice.
+    return F.when(within_country(limits) & (d <= limits.max_distance_km), d)
+
+
 def distance_stats(
     located: DataFrame,
     by: Sequence[str] = BATCH,
@@ -185,13 +197,7 @@ def distance_stats(
     ``scope="all"`` uses every row, also those with a sentinel distance or bad position;
     ``"valid"`` only rows inside the country and the distance limit.
     """
-    if scope not in ("valid", "all"):
-        raise ValueError(f"unknown scope {scope!r}")
-    d = F.col("distance_to_cell_km")
-    if scope == "valid":
-        # A condition inside the aggregates, not a filter: a filter would be pushed below
-        # the distance and compute it twice.
-        d = F.when(within_country(limits) & (d <= limits.max_distance_km), d)
+    d = plausible_distance(scope, limits)
     return located.groupBy(*by, "cell_id").agg(
         F.avg(d).alias("mean_distance_km"), F.stddev_samp(d).alias("sd_distance_km")
     )

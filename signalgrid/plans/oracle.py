@@ -605,6 +605,16 @@ located AS (SELECT * EXCLUDE (ca), 6371.0e0 * acos(CASE WHEN ca > 1 THEN 1.0e0
   WHEN ca < -1 THEN -1.0e0 ELSE ca END) AS km FROM cosines),
 {axial('located', EDGE_KM, 'placed')},{fact_from('placed', 'fact')}
 SELECT {FACT_COLUMNS} FROM fact""",
+    "fact_by_delta": f"""WITH {MERGED},{CELLS},
+keyed AS (SELECT *, {key('cell_code')} AS cell_id FROM merged),
+cosines AS (SELECT k.*, {COSINE} AS ca FROM keyed k LEFT JOIN cells c USING (cell_id)),
+located AS (SELECT * EXCLUDE (ca), 6371.0e0 * acos(CASE WHEN ca > 1 THEN 1.0e0
+  WHEN ca < -1 THEN -1.0e0 ELSE ca END) AS km FROM cosines),
+{axial('located', EDGE_KM, 'placed')},{fact_from('placed', 'fact')}
+SELECT {FACT_COLUMNS} FROM fact""",
+    "distance_stats_merged": f"""WITH {rated('')} SELECT cell_id,
+  round(any_value(mean_d), 6) AS mean_distance_km, round(any_value(sd_d), 6) AS sd_distance_km
+FROM rated GROUP BY cell_id""",
     "forecast_history": f"""WITH {FACT},{TRAINING} SELECT hex_id, cell_id,
   {moment('record_time')}, user_density_count, avg_rsrp FROM training""",
     "forecast_seasonal": f"""WITH {FORECAST} SELECT hex_id, cell_id, {FORECAST_COLUMNS}

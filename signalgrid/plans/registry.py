@@ -15,11 +15,13 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 from signalgrid.functions import HexGrid, iso_weekday, normalize_key as spelled, rsrp_band as band_of
 from signalgrid.operators import (
     alerts,
+    deltas,
     dimensions,
     enrich,
     facts,
     forecast,
     late,
+    moments,
     quality,
     serving,
 )
@@ -383,6 +385,16 @@ def distance_outliers_all_rows(t: Tables) -> DataFrame:
     )
 
 
+@query
+def distance_stats_merged(t: Tables) -> DataFrame:
+    """Statistics of each cell from the stored moments of its hours."""
+    path = tables.work_folder(t.spark) + "/moments"
+    located = enrich.with_distance(t.measurements, t.cells)
+    tables.write_table(moments.distance_moments(located, limits=ROW_LIMITS), path)
+    stats = moments.distance_stats(tables.read_table(t.spark, path))
+    return rounded(stats, "mean_distance_km", "sd_distance_km")
+
+
 @query
 def classify_rows(t: Tables) -> DataFrame:
     return rounded(
@@ -461,6 +473,19 @@ def rebuild_affected(t: Tables) -> DataFrame:
     return facts.hourly(merged, t.cells, GRID, digits=DIGITS)
 
 
+@query
+def fact_by_delta(t: Tables) -> DataFrame:
+    """Facts of all hours after the late rows, from stored parts and the changes to them."""
+    work = tables.work_folder(t.spark)
+    path = f"{work}/parts"
+    tables.write_table(t.silver, f"{work}/silver", ["event_date"])
+    silver = tables.read_table(t.spark, f"{work}/silver")
+    tables.write_table(deltas.parts(silver, t.cells, GRID), path, ["event_date"])
+    changed = deltas.changes(silver, t.late_rows, t.cells, GRID, newest=MERGE_ORDER)
+    deltas.add_to_table(path, changed, ["event_date"])
+    return deltas.to_facts(tables.read_table(t.spark, path), GRID, digits=DIGITS)
+
+
 # ---- forecast ---------------------------------------------------------------------------
 
 
