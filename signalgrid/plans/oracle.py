@@ -517,6 +517,9 @@ SELECT event_id, time_ms, p_cell_rsrp, strftime(local, '%Y-%m-%d') AS event_date
     "p10_daily_from_hours": f"""WITH {LOCATED},{axial('located', DAILY_EDGE_KM, 'placed')},
 {fact_from('placed', 'fact', 'event_date')}
 SELECT hex_id, cell_id, {day('event_date')}, user_density_count, p10_rsrp FROM fact""",
+    "csv_rejected": f"""WITH {MDT}, told AS (SELECT *, CASE WHEN event_id % 17 = 0
+  THEN 'too many fields' WHEN event_id % 19 = 0 THEN 'too few fields' END AS reason FROM mdt)
+SELECT event_id, CASE WHEN reason IS NULL THEN p_cell_rsrp END AS p_cell_rsrp, reason FROM told""",
     "csv_cells": f"""WITH {RECORDS} SELECT event_id, cell_code, x, y, station_code, azimuth,
   province_name, district_name FROM records""",
     "compacted_write": f"""WITH {MDT} SELECT CAST(3 AS BIGINT) AS files, count(*) AS row_count

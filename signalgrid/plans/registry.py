@@ -125,6 +125,30 @@ def csv_measurements(t: Tables) -> DataFrame:
     )
 
 
+@query
+def csv_rejected(t: Tables) -> DataFrame:
+    """Every line of files in which some have a field too many and some end early."""
+    folder = tables.work_folder(t.spark) + "/csv"
+    names = ["event_id", *MEASUREMENT_COLUMNS]
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names]
+    event = F.col("event_id")
+    line = (
+        F.when(event % 17 == 0, F.concat_ws(",", *fields, F.lit("more")))
+        .when(event % 19 == 0, F.concat_ws(",", *fields[:3]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    # One column that is the whole line, its name the header.
+    lines = with_time_ms(t.measurements).select(line.alias(",".join(names)))
+    lines.write.option("header", True).option("sep", "\t").option("quote", "\0").csv(folder)
+    good, rejected = landing.read_checked(t.spark, folder, MEASUREMENT_COLUMNS)
+    first = F.split("line", ",")[0]
+    return good.select(
+        F.col("event_id").cast("bigint"), "p_cell_rsrp", F.lit(None).cast("string").alias("reason")
+    ).unionByName(
+        rejected.select(first.cast("bigint").alias("event_id"), F.lit(None).cast("double").alias("p_cell_rsrp"), "reason")
+    )
+
+
 @query
 def csv_cells(t: Tables) -> DataFrame:
     folder = tables.work_folder(t.spark) + "/csv"

@@ -5,12 +5,17 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from signalgrid.functions import local_time
 from signalgrid.schemas import CELL_COLUMNS, MEASUREMENT_COLUMNS
 from signalgrid.settings import LOCAL_ZONE
 
 
+#: A quoted field, in which commas are text.
+_QUOTED = r'"(\\.|[^"\\])*"'
+
+
 def landing_path(root: str, date: dt.date | str, hour: int) -> str:
     """``<root>/mdt_YYYYMMDDHH.csv``"""
     day = dt.date.fromisoformat(str(date))
@@ -42,6 +47,52 @@ def read_measurements(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return typed(raw, columns)
 
 
+def read_checked(
+    spark: SparkSession, path: str | list[str], columns: dict[str, str]
+) -> tuple[DataFrame, DataFrame]:
+    """The well-formed lines of landing files, typed, and the malformed ones as (line, fields,
+    expected, reason, file); every line is in one of the two.
+
+    A plain read cuts lines that are too long and fills up lines that are too short, unseen; both
+    shift or lose values. Here the number of fields must be that of the header (of the first
+    file; one with another header fails). A value that is no number is no malformed line: it
+    becomes null, as in a plain read. ``time_ms`` is there only if the header names it.
+    """
+    names = _read_text_columns(spark, path).columns
+    broken = "_line"
+    while broken in names:
+        broken += "_"
+    shape = StructType([StructField(name, StringType()) for name in (*names, broken)])
+    read = (
+        spark.read.schema(shape)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", broken)
+        # A reader of some columns does not count the fields of a line.
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    # Always true: Spark reads no corrupt record without a column beside it.
+    first = F.col(f"`{names[0]}`")
+    read = read.where(first.isNull() | (F.length(first) >= 0))
+    good = read.where(F.col(broken).isNull()).drop(broken)
+    line = F.col(broken)
+    fields = F.size(F.split(F.regexp_replace(line, _QUOTED, ""), ",", -1))
+    rejected = read.where(line.isNotNull()).select(
+        line.alias("line"),
+        fields.alias("fields"),
+        F.lit(len(names)).alias("expected"),
+        F.when(fields > len(names), "too many fields")
+        .when(fields < len(names), "too few fields")
+        .otherwise("unreadable")
+        .alias("reason"),
+        F.col("_metadata.file_path").alias("file"),
+    )
+    known = {name: kind for name, kind in columns.items() if name != "time_ms" or name in names}
+    return typed(good, known), rejected
+
+
 def read_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return typed(_read_text_columns(spark, path), CELL_COLUMNS)
 

@@ -202,3 +202,29 @@ def test_work_folder_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = tables.work_folder(spark), tables.work_folder(spark)
     assert first.startswith(shared) and second.startswith(shared) and first != second
+
+
+def test_malformed_lines_are_told_and_none_is_lost(spark, tmp_path):
+    lines = ["device_code,lat,cell_code,note", "a,21.5,C1,x", "b,21.0", "c,21.0,C1,x,y", 'd,21.0,"C,1",x', 'e,no,C1,"x,y",z', "f,bad,C1,x", ",,,"]
+    (tmp_path / "one.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "two.csv").write_text("\n".join([lines[0], "g", "h,1,C2,x"]) + "\n")
+    (tmp_path / "three.csv").write_text(lines[0] + "\n")
+    columns = {"device_code": "string", "lat": "double", "cell_code": "string", "time_ms": "bigint", "lng": "double"}
+    good, rejected = landing.read_checked(spark, str(tmp_path), columns)
+    assert good.columns == ["device_code", "lat", "cell_code", "note", "lng"]
+    assert {tuple(row) for row in good.collect()} == {
+        ("a", 21.5, "C1", "x", None),
+        ("d", 21.0, "C,1", "x", None),
+        ("f", None, "C1", "x", None),
+        (None, None, None, None, None),
+        ("h", 1.0, "C2", "x", None),
+    }
+    told = {(r.line, r.fields, r.expected, r.reason, r.file.rsplit("/", 1)[1]) for r in rejected.collect()}
+    assert told == {
+        ("b,21.0", 2, 4, "too few fields", "one.csv"),
+        ("c,21.0,C1,x,y", 5, 4, "too many fields", "one.csv"),
+        ('e,no,C1,"x,y",z', 5, 4, "too many fields", "one.csv"),
+        ("g", 1, 4, "too few fields", "two.csv"),
+    }
+    # Counting reads no column, and still counts each line once.
+    assert (good.count(), rejected.count()) == (5, 4)
