@@ -490,6 +490,21 @@ SELECT strftime(d, '%Y-%m-%d') AS date_key, CAST(year(d) AS INTEGER) AS year,
     "dim_hex": f"""WITH {MDT},{hex_dim(EDGE_KM, 'hexes')} SELECT hex_id,
   round(hex_center_lat, 6) AS hex_center_lat, round(hex_center_lng, 6) AS hex_center_lng
 FROM hexes""",
+    "hex_fill": f"""WITH {MDT},{hex_dim(EDGE_KM, 'hexes')},
+area AS (SELECT event_hour, min(lng) AS west, max(lng) AS east, min(lat) AS south, max(lat) AS north,
+    arg_min(lat, event_id) AS lat1, arg_min(lng, event_id) AS lng1, arg_max(lat, event_id) AS lat2,
+    arg_max(lng, event_id) AS lng2 FROM mdt
+  WHERE lat BETWEEN 8.5 AND 23.4 AND lng BETWEEN 102.1 AND 109.5 GROUP BY event_hour),
+rim AS (SELECT event_hour, (west + east) / 2 AS x, (south + north) / 2 AS y, unnest([
+    {{'x1': west, 'y1': lat1, 'x2': lng1, 'y2': north}}, {{'x1': lng1, 'y1': north, 'x2': east, 'y2': lat2}},
+    {{'x1': east, 'y1': lat2, 'x2': lng2, 'y2': south}}, {{'x1': lng2, 'y1': south, 'x2': west, 'y2': lat1}}
+  ], recursive := true) FROM area),
+edges AS (SELECT event_hour, x1, y1, x2, y2 FROM rim UNION ALL
+  SELECT event_hour, (x1 + x) / 2, (y1 + y) / 2, (x2 + x) / 2, (y2 + y) / 2 FROM rim)
+SELECT event_hour, hex_id FROM edges, hexes
+WHERE (y1 <= hex_center_lat) <> (y2 <= hex_center_lat)
+  AND x1 + (hex_center_lat - y1) / (y2 - y1) * (x2 - x1) <= hex_center_lng
+GROUP BY event_hour, hex_id HAVING count(*) % 2 = 1""",
     "dim_cell": f"WITH {RECORDS},{newest_cells('dim')} SELECT * FROM dim",
     "sector_polygons": f"""WITH {RECORDS},{newest_cells('dim')} SELECT cell_id,
   round(station_lng, 6) AS p1_lng, round(station_lat, 6) AS p1_lat,
@@ -524,6 +539,8 @@ SELECT event_id, CASE WHEN reason IS NULL THEN p_cell_rsrp END AS p_cell_rsrp, r
   province_name, district_name FROM records""",
     "compacted_write": f"""WITH {MDT} SELECT CAST(3 AS BIGINT) AS files, count(*) AS row_count
 FROM mdt""",
+    "compacted_by_size": f"""WITH {MDT} SELECT event_hour, count(*) AS row_count,
+  CAST(sum(event_id) AS BIGINT) AS id_sum, true AS compact FROM mdt GROUP BY event_hour""",
     "truncate_table": f"""WITH {MDT} SELECT event_id, device_code, event_hour FROM mdt""",
     "register_table": f"""WITH {MDT} SELECT event_id, device_code, {day('event_date')} FROM mdt""",
     "forecast_store": f"""SELECT * FROM (WITH {FORECAST} SELECT hex_id, cell_id, {FORECAST_COLUMNS}

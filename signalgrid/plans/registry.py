@@ -22,6 +22,7 @@ from signalgrid.operators import (
     forecast,
     late,
     moments,
+    polygons,
     quality,
     serving,
 )
@@ -45,7 +46,8 @@ from signalgrid.plans.derived import (
     with_time_ms,
 )
 from signalgrid.schemas import CELL_COLUMNS, MEASUREMENT_COLUMNS
-from signalgrid.sources import landing, tables
+from signalgrid.settings import Limits
+from signalgrid.sources import compaction, landing, tables
 from signalgrid.streaming import streams
 
 # Fits by rounds of descent add up in another order in another engine.
@@ -169,6 +171,26 @@ def compacted_write(t: Tables) -> DataFrame:
     )
 
 
+@query
+def compacted_by_size(t: Tables) -> DataFrame:
+    """Folders of many small files, merged by their sizes: rows, and whether at most one small
+    file is left in each."""
+    path = tables.work_folder(t.spark) + "/measurements"
+    rows = t.measurements.select("event_id", "device_code", "event_hour")
+    tables.append(rows.repartition(4), path, ["event_hour"])
+    compaction.compact_table(t.spark, path)
+    small = F.when(F.col("_metadata.file_size") < compaction.TARGET // 2, F.col("_metadata.file_path"))
+    return (
+        tables.read_table(t.spark, path)
+        .groupBy("event_hour")
+        .agg(
+            F.count("*").alias("row_count"),
+            F.sum("event_id").alias("id_sum"),
+            (F.count_distinct(small) <= 1).alias("compact"),
+        )
+    )
+
+
 @query
 def truncate_table(t: Tables) -> DataFrame:
     """A table emptied and filled again has the new rows only."""
@@ -247,6 +269,37 @@ def dim_hex(t: Tables) -> DataFrame:
     return rounded(t.hexes, "hex_center_lat", "hex_center_lng")
 
 
+@query
+def hex_fill(t: Tables) -> DataFrame:
+    """The hexagons of each hour's area: a ring through its outermost, first and last
+    measurements, with a hole of half its size."""
+    inside = t.measurements.where(
+        F.col("lat").between(*Limits().lat) & F.col("lng").between(*Limits().lng)
+    )
+    area = inside.groupBy("event_hour").agg(
+        F.min("lng").alias("west"),
+        F.max("lng").alias("east"),
+        F.min("lat").alias("south"),
+        F.max("lat").alias("north"),
+        *(
+            pick(name, "event_id").alias(f"{end}_{name}")
+            for end, pick in (("first", F.min_by), ("last", F.max_by))
+            for name in ("lat", "lng")
+        ),
+    )
+    corners = [("west", "first_lat"), ("first_lng", "north"), ("east", "last_lat"), ("last_lng", "south")]
+
+    def point(lng, lat):
+        return F.struct(lng.alias("lng"), lat.alias("lat"))
+
+    middle_lng = (F.col("west") + F.col("east")) / 2
+    middle_lat = (F.col("south") + F.col("north")) / 2
+    outer = F.array(*(point(F.col(x), F.col(y)) for x, y in corners))
+    hole = F.array(*(point((F.col(x) + middle_lng) / 2, (F.col(y) + middle_lat) / 2) for x, y in corners))
+    shapes = area.select("event_hour", F.array(outer, hole).alias("rings"))
+    return polygons.hex_fill(shapes, ["event_hour"], GRID).select("event_hour", "hex_id")
+
+
 @query
 def dim_cell(t: Tables) -> DataFrame:
     return dimensions.cell_dim(t.cell_records, ["loaded_at", "event_id"])
