@@ -176,14 +176,11 @@ def health_status(
     )
 
 
-def next_hour_forecast(facts: DataFrame, forecast: DataFrame) -> DataFrame:
-    """Facts with the forecast for the hour after theirs.
-
-    The forecast's time is moved back an hour, which leaves an equi join.
-    """
+def hour_before(forecast: DataFrame) -> DataFrame:
+    """Forecasts by the date and hour before theirs, which leaves an equi join with facts."""
     one_hour = F.make_dt_interval(F.lit(0), F.lit(1))
     moved = F.col("forecast_time") - one_hour
-    ahead = forecast.select(
+    return forecast.select(
         "hex_id",
         "cell_id",
         F.to_date(moved).alias("event_date"),
@@ -193,7 +190,11 @@ def next_hour_forecast(facts: DataFrame, forecast: DataFrame) -> DataFrame:
         "forecast_rsrp",
         "forecast_rsrp_lower",
     )
-    return facts.join(ahead, ["hex_id", "cell_id", "event_date", "event_hour"], "left")
+
+
+def next_hour_forecast(facts: DataFrame, forecast: DataFrame) -> DataFrame:
+    """Facts with the forecast for the hour after theirs."""
+    return facts.join(hour_before(forecast), ["hex_id", "cell_id", "event_date", "event_hour"], "left")
 
 
 def early_warning(

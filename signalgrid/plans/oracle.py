@@ -679,6 +679,15 @@ SELECT {STATUS_COLUMNS} FROM state WHERE event_hour = {NOON}""",
   f.event_hour, {MEASURES}, CAST(forecast_density AS DOUBLE) AS forecast_density,
   forecast_upper, forecast_rsrp, forecast_rsrp_lower
 FROM fact f LEFT JOIN {NEXT_HOUR} WHERE f.event_date = DATE '{DAY}'""",
+    "next_hour_bucketed": f"""WITH {FORECAST} SELECT f.hex_id, f.cell_id, {day('f.event_date')},
+  f.event_hour, {MEASURES}, CAST(forecast_density AS DOUBLE) AS forecast_density,
+  forecast_upper, forecast_rsrp, forecast_rsrp_lower
+FROM fact f LEFT JOIN {NEXT_HOUR} WHERE f.event_date = DATE '{DAY}'""",
+    "serving_filter_clustered": f"""WITH {FACT} SELECT hex_id, cell_id, {day('event_date')},
+  event_hour, user_density_count, avg_rsrp FROM fact
+WHERE CAST(split_part(hex_id, ':', 1) AS BIGINT) BETWEEN -47 AND -45
+  AND CAST(split_part(hex_id, ':', 2) AS BIGINT) BETWEEN 91 AND 93
+  AND event_hour BETWEEN 6 AND {NOON}""",
     "early_warning": f"""WITH {FORECAST} SELECT f.hex_id, f.cell_id, {day('f.event_date')},
   f.event_hour, {WARNING} AS early_warning FROM fact f LEFT JOIN {NEXT_HOUR}""",
     "map_view": f"""WITH {MAP} SELECT hex_id, cell_id, cell_lat, cell_lng,

@@ -47,7 +47,7 @@ from signalgrid.plans.derived import (
 )
 from signalgrid.schemas import CELL_COLUMNS, MEASUREMENT_COLUMNS
 from signalgrid.settings import Limits
-from signalgrid.sources import compaction, landing, tables
+from signalgrid.sources import compaction, landing, layout, tables
 from signalgrid.streaming import streams
 
 # Fits by rounds of descent add up in another order in another engine.
@@ -692,12 +692,39 @@ def next_hour_forecast(t: Tables) -> DataFrame:
     return as_double(ahead, "forecast_density")
 
 
+@query
+def next_hour_bucketed(t: Tables) -> DataFrame:
+    """Facts and forecasts stored in buckets of their common keys, joined without a shuffle."""
+    folder = tables.work_folder(t.spark)
+    run = folder.rsplit("-", 1)[1]
+    keys = ["hex_id", "cell_id", "event_date", "event_hour"]
+    for name, rows in (("facts", t.facts), ("ahead", serving.hour_before(t.forecast))):
+        layout.write_bucketed(rows, f"{name}_{run}", f"{folder}/{name}", 8, keys)
+    day = serving.on_day(t.spark.table(f"facts_{run}"), DAY)
+    ahead = day.join(t.spark.table(f"ahead_{run}").hint("merge"), keys, "left")
+    return as_double(ahead, "forecast_density")
+
+
 @query
 def early_warning(t: Tables) -> DataFrame:
     warned = serving.early_warning(t.facts, t.forecast, LIMITS)
     return warned.select("hex_id", "cell_id", "event_date", "event_hour", "early_warning")
 
 
+@query
+def serving_filter_clustered(t: Tables) -> DataFrame:
+    """Facts of a block of hexagons in some hours, from files along a curve."""
+    path = tables.work_folder(t.spark) + "/facts"
+    placed = layout.with_coordinates(t.facts)
+    layout.write_clustered(placed, path, ["hex_q", "hex_r", "event_hour"], files=16)
+    block = layout.within(hex_q=(-47, -45), hex_r=(91, 93), event_hour=(6, NOON))
+    return (
+        tables.read_table(t.spark, path)
+        .where(block)
+        .select("hex_id", "cell_id", "event_date", "event_hour", "user_density_count", "avg_rsrp")
+    )
+
+
 MAP_COLUMNS = [
     "hex_id",
     "cell_id",

@@ -20,6 +20,8 @@ STREAMS = {"stream_fact_hourly", "stream_dedup", "stream_late_repair", "landing_
 WRITERS = {
     "replace_partitions", "csv_measurements", "csv_cells", "compacted_write", "truncate_table",
     "register_table", "upsert_stored_cells", "forecast_store", "p10_daily_from_hours",
+    "compacted_by_size", "csv_rejected", "distance_stats_merged", "fact_by_delta",
+    "next_hour_bucketed", "serving_filter_clustered",
 }
 
 
