@@ -76,7 +76,7 @@ def compact_table(
         "_file string, _folder string, _bin int",
     )
     to_uri = spark.sparkContext._jvm.java.net.URI
-    place, files = file_system(spark, path)
+    place, _ = file_system(spark, path)
     # No partition discovery: folders are taken from the list, columns from the files alone.
     rows = (
         spark.read.option("recursiveFileLookup", True)
