@@ -22,6 +22,7 @@ as they stand. Phrases are compared by their bytes; only A-Z are lowered.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from signalgrid.llm.arrays import U64, mix, pieces, text_bytes, word_spans
-from signalgrid.llm.work import drop_folder, settle
+from signalgrid.llm.work import drop_folder, settle as settle_frame
 
 LONGEST = 4
 LEAST = 30
@@ -57,6 +58,10 @@ MOST_WORDS = 4
 _WORD = np.int64((1 << 32) - 1)
 #: Rows that a task gathers before it sums them up.
 GATHER = 1 << 21
+#: Rows of sums that a task hands on at once.
+TOLD = 1 << 16
+#: A task gets few runs at once: Spark would send up to 64 MB of them, held on both sides.
+settle = partial(settle_frame, settings={"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)})
 #: Bits of the bitmap for each frequent phrase, and at most.
 BITS_EACH, MOST_BITS = 16, 1 << 27
 #: Bits in a row of Spark's bitmap functions.
@@ -176,36 +181,45 @@ def _longer(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np
     return places[meets], high[meets] << 32 | first >> 32, (first & _WORD) << 32 | low[meets + 1] & _WORD
 
 
-def _summed(high: np.ndarray, low: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((low, high)) if high.any() else np.argsort(low)
-    high, low, n = high[order], low[order], n[order]
-    first = np.flatnonzero(np.append(True, (np.diff(low) != 0) | (np.diff(high) != 0)))
-    return high[first], low[first], np.add.reduceat(n, first)
+def _summed(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """``rows`` (high, low, n) with one row a phrase; the list is emptied on the way, so that no
+    column is held twice."""
+    order = np.lexsort((rows[1], rows[0])) if rows[0].any() else np.argsort(rows[1])
+    for i in range(3):
+        rows[i] = rows[i][order]
+    del order
+    low, high = rows[1], rows[0]
+    first = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
+    del low, high
+    n = np.add.reduceat(rows.pop(), first)
+    low = rows.pop()[first]
+    return [rows.pop()[first], low, n]
 
 
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(high, low, n) of the phrases one word longer than those of the runs of a task."""
-    empty = (np.empty(0, np.int64),) * 3
-    gathered = [empty]
+    gathered: list[list[np.ndarray]] = []
 
-    def summed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        high, low, n = (np.concatenate(x) for x in zip(*gathered))
-        return _summed(high, low, n) if len(low) else empty
+    def summed() -> list[np.ndarray]:
+        rows = [np.concatenate([x.pop(0) for x in gathered]) for _ in range(3)]
+        gathered.clear()
+        return _summed(rows)
 
-    def told(rows: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(x) for x in rows], ["high", "low", "n"])
+    def told(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(rows[0]), TOLD):
+            yield pa.record_batch([pa.array(x[start : start + TOLD]) for x in rows], ["high", "low", "n"])
 
     for batch in batches:
         for row in range(batch.num_rows):
             _, high, low = _longer(batch, row)
             if len(low):
-                gathered.append(_summed(high, low, np.ones(len(low), np.int64)))
+                gathered.append(_summed([high, low, np.ones(len(low), np.int64)]))
             if sum(len(x[0]) for x in gathered) > GATHER:
-                gathered = [summed()]
+                gathered.append(summed())
                 if len(gathered[0][0]) > GATHER // 2:
-                    yield told(gathered.pop())
-                    gathered = [empty]
-    yield told(summed())
+                    yield from told(gathered.pop())
+    if gathered:
+        yield from told(summed())
 
 
 def _spots(high: np.ndarray, low: np.ndarray, bits: int) -> np.ndarray:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from signalgrid.sources.tables import file_system, work_folder
@@ -16,18 +18,22 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def settle(df: DataFrame) -> tuple[DataFrame, str]:
+def settle(df: DataFrame, settings: Mapping[str, str] = {}) -> tuple[DataFrame, str]:
     """Write ``df`` once and go on from the written table; returns it and its folder.
 
     What follows recomputes nothing of ``df``, whichever executors are lost. The folder goes
     when the driver ends; a caller that is sure no plan reads it any more drops it earlier.
+    ``settings`` of the session hold while it is written.
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/rows"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    settings = {CLEANUP: "true", **settings}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path), path

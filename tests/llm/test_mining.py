@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import messy
@@ -261,3 +262,39 @@ def test_scores_are_exact_beyond_64_bits(spark):
     assert row[0] == 2_000_000 * a // (l + r)
     covers = spark.createDataFrame([(8 * 10**17, a), (8 * 10**17 - 1, a)], "f long, a long").select(collocations.covers("f", "a", 80))
     assert [row[0] for row in covers.collect()] == [True, False]
+
+
+def test_counting_holds_few_times_what_it_gathers(monkeypatch):
+    monkeypatch.setattr(collocations, "GATHER", 1 << 18)
+    rng, n = np.random.default_rng(1), 50_000
+    words = [rng.integers(0, 1 << 20, n) for _ in range(24)]
+    runs = (run for some in words for run in collocations._run(np.arange(n), np.zeros(n, np.int64), some))
+    told, want = Counter(), Counter()
+    tracemalloc.start()
+    try:
+        for batch in collocations._counts(runs):
+            assert batch.num_rows <= collocations.TOLD
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 5 * 24 * collocations.GATHER + sum(x.nbytes for x in words)
+    words = [some[:500] % 9 for some in words]
+    for some in words:
+        want.update((int(a) << 32) + int(b) for a, b in zip(some, some[1:]))
+    runs = (run for some in words for run in collocations._run(np.arange(500), np.zeros(500, np.int64), some))
+    for batch in collocations._counts(runs):
+        told.update({low: count for high, low, count in zip(*batch.to_pydict().values())})
+    assert told == want
+
+
+def test_tasks_of_a_settled_frame_get_few_bytes_at_once(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["bytes"])
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    runs = spark.range(0, 24, 1, 1).selectExpr("repeat('x', 1000000) AS run").mapInArrow(sizes, "bytes long")
+    got = [row.bytes for row in collocations.settle(runs)[0].collect()]
+    assert sum(got) > 24_000_000 and max(got) < 6_000_000
+    assert spark.conf.get(setting, None) == before
