@@ -57,11 +57,17 @@ RUNS = "n int, gaps binary, high binary, low binary"
 MOST_WORDS = 4
 _WORD = np.int64((1 << 32) - 1)
 #: Rows that a task gathers before it sums them up.
-GATHER = 1 << 21
+GATHER = 1 << 20
 #: Rows of sums that a task hands on at once.
 TOLD = 1 << 16
 #: A task gets few runs at once: Spark would send up to 64 MB of them, held on both sides.
-settle = partial(settle_frame, settings={"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)})
+FEW_BYTES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+settle = partial(settle_frame, settings=FEW_BYTES)
+#: What reads runs decodes few at once: Spark would decode 4,096 rows, which is all runs of a file.
+settle_from_runs = partial(settle_frame, settings={**FEW_BYTES, "spark.sql.parquet.columnarReaderBatchSize": "8"})
+#: A written run may fill a page: Parquet would look at its sizes after 100 rows only, and until
+#: then hold all runs of a task, to compress them as one page a column.
+RUN_FILES = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 #: Bits of the bitmap for each frequent phrase, and at most.
 BITS_EACH, MOST_BITS = 16, 1 << 27
 #: Bits in a row of Spark's bitmap functions.
@@ -264,7 +270,7 @@ def _next_runs(runs: DataFrame, bitmap: np.ndarray) -> DataFrame:
 
 def _with_numbers(words: DataFrame) -> DataFrame:
     """``words`` with ``id``, whole numbers from 0; the driver learns the rows of each partition."""
-    listed, _ = settle(
+    listed, _ = settle_from_runs(
         words.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id() % (1 << 33))
     )
     sizes = dict(listed.groupBy("part").count().collect())
@@ -297,25 +303,25 @@ def phrase_counts(
     if not 1 <= longest <= MOST_WORDS:
         raise ValueError(f"phrases have 1 to {MOST_WORDS} words")
     # Numbered as written: read again, a run has the number it had.
-    first, folder = settle(_word_runs(docs, lang, text).withColumn("run", F.monotonically_increasing_id()))
+    first, folder = settle(_word_runs(docs, lang, text).withColumn("run", F.monotonically_increasing_id()), options=RUN_FILES)
     sizes = first.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    sizes, _ = settle(sizes.groupBy("lang").agg(F.sum("n").alias("n")))
+    sizes, _ = settle_from_runs(sizes.groupBy("lang").agg(F.sum("n").alias("n")))
     each = first.select("run", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "of")).select(
         "run", "code", "lang", F.col("of.words").cast("string").alias("phrase"), F.col("of.counts").alias("f")
     )
     words, _ = settle(_with_numbers(each.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)))
     few = words.count() <= FEW_PHRASES
-    runs, newer = settle(_numbered_runs(first, words, each))
+    runs, newer = settle_from_runs(_numbered_runs(first, words, each), options=RUN_FILES)
     drop_folder(docs.sparkSession, folder)
     folder = newer
     result = words.select("lang", "phrase", F.lit(1).alias("words"), "f")
     for size in range(2, longest + 1):
         # Dealt out as they come: each task has summed up its own, which Spark would try once more.
         counts = runs.mapInArrow(_counts, "high long, low long, n long").repartition("high", "low")
-        frequent, _ = settle(counts.groupBy("high", "low").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
+        frequent, _ = settle_from_runs(counts.groupBy("high", "low").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
         result = result.unionByName(_spelt(frequent, words, size, few))
         if size < longest:
-            runs, newer = settle(_next_runs(runs, _bitmap(frequent, frequent.count())))
+            runs, newer = settle_from_runs(_next_runs(runs, _bitmap(frequent, frequent.count())), options=RUN_FILES)
         # All that was made of the runs before is written.
         drop_folder(docs.sparkSession, folder)
         folder = newer

@@ -18,12 +18,12 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def settle(df: DataFrame, settings: Mapping[str, str] = {}) -> tuple[DataFrame, str]:
+def settle(df: DataFrame, settings: Mapping[str, str] = {}, options: Mapping[str, str] = {}) -> tuple[DataFrame, str]:
     """Write ``df`` once and go on from the written table; returns it and its folder.
 
     What follows recomputes nothing of ``df``, whichever executors are lost. The folder goes
     when the driver ends; a caller that is sure no plan reads it any more drops it earlier.
-    ``settings`` of the session hold while it is written.
+    ``settings`` of the session hold while it is written; ``options`` are those of the writer.
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/rows"
@@ -32,7 +32,7 @@ def settle(df: DataFrame, settings: Mapping[str, str] = {}) -> tuple[DataFrame,
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -8,11 +8,14 @@ import random
 import re
 import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import messy
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from signalgrid.llm import collocations, licenses, vector_codes
@@ -298,3 +301,30 @@ def test_tasks_of_a_settled_frame_get_few_bytes_at_once(spark):
     got = [row.bytes for row in collocations.settle(runs)[0].collect()]
     assert sum(got) > 24_000_000 and max(got) < 6_000_000
     assert spark.conf.get(setting, None) == before
+
+
+def test_runs_are_stored_and_read_few_at_once(spark, monkeypatch):
+    groups, plain, drop = [], collocations._counts, collocations.drop_folder
+
+    def counts(batches):
+        assert int(TaskContext.get().getLocalProperty("spark.sql.parquet.columnarReaderBatchSize")) <= 8
+        return plain(batches)
+
+    def dropped(session, folder):
+        for file in Path(folder.removeprefix("file:")).glob("*.parquet"):
+            meta = pq.read_metadata(file)
+            groups.append([meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)])
+        drop(session, folder)
+
+    monkeypatch.setattr(collocations, "RUN", 300_000)
+    monkeypatch.setattr(collocations, "_counts", counts)
+    monkeypatch.setattr(collocations, "drop_folder", dropped)
+    word = "hex(pmod(xxhash64(id, x), 65536))"
+    docs = spark.range(0, 40, 1, 1).selectExpr("'en' AS lang", f"array_join(transform(sequence(1, 60000), x -> {word}), ' ') AS text")
+    found, sizes = collocations.phrase_counts(docs, longest=2)
+    assert sizes.collect() == [("en", 2_400_000)]
+    assert found.where("words = 1").agg({"f": "min"}).first()[0] >= collocations.LEAST
+    # Of some 30 MB that a task writes, few are held at once.
+    assert sum(map(sum, groups)) > 16_000_000 and max(map(max, groups)) < 8_000_000
+    most = max(groups, key=sum)
+    assert len(most) > 2
